@@ -66,7 +66,8 @@ def versions(updates: DataFrame, hours: int = 1) -> DataFrame:
     """
     by = Window.partitionBy("pk").orderBy("modified", "seq")
     out = updates.withColumn("__before", F.lag("modified").over(by)).where("__before is not null")
-    gap = F.unix_micros("modified") - F.unix_micros("__before")
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    gap = at("modified") - at("__before")
     out = out.where(~(F.col("owner").eqNullSafe(F.col("updater")) & (gap <= hours * 3_600_000_000)))
     return out.select("pk", F.concat(F.lit("VERSION#"), F.date_format("__before", "yyyy-MM-dd'T'HH:mm:ss")).alias("sk"), F.col("__before").alias("modified"))
 

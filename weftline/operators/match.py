@@ -107,25 +107,28 @@ def phrase(text: Column, words: Column, slop: int = 3) -> Column:
 
     For each start, the earliest next place of each word in turn is the closest ordered match.
     """
-    ws = tokens(text)
     n = F.size(words)
-    first = F.filter(F.sequence(F.lit(1), F.greatest(F.size(ws), F.lit(1))), lambda i: F.try_element_at(ws, i) == F.get(words, F.lit(0)))
 
-    def span(i: Column) -> Column:
-        def step(at: Column, w: Column) -> Column:
-            here = F.array_position(F.slice(ws, at + 1, F.greatest(F.size(ws) - at, F.lit(0))), w).cast("int")
-            return F.when((at < 1) | (at >= F.size(ws)) | (here == 0), F.lit(-1)).otherwise(at + here)
+    def inside(ws: Column) -> Column:
+        def span(i: Column) -> Column:
+            def step(at: Column, w: Column) -> Column:
+                here = F.array_position(F.slice(ws, at + 1, F.lit(slop + 1)), w).cast("int")
+                return F.when((at < 1) | (at >= F.size(ws)) | (here == 0), F.lit(-1)).otherwise(at + here)
 
-        last = F.aggregate(F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))), i, step)
-        return (last > 0) & (last - i - (n - 1) <= slop)
+            last = F.aggregate(F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))), i, step)
+            return (last > 0) & (last - i - (n - 1) <= slop)
 
-    return F.coalesce((n > 0) & F.exists(first, span), F.lit(False))
+        starts = F.filter(F.transform(ws, lambda w, i: F.when(w == F.get(words, F.lit(0)), i + 1)), lambda i: i.isNotNull())
+        return F.exists(starts, span)
+
+    # the words of the text are bound once, as the variable of a lambda
+    return F.coalesce((n > 0) & F.get(F.transform(F.array(tokens(text)), inside), F.lit(0)), F.lit(False))
 
 
 def highlighted(text: Column, terms: Column, tag: str = "mark") -> Column:
     """The text with every occurrence of the terms (whole words, any case) tagged."""
     safe = F.transform(terms, lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
-    return F.when(F.size(terms) > 0, F.regexp_replace(text, F.concat(F.lit(r"(?i)\b("), F.array_join(safe, "|"), F.lit(r")\b")), F.lit(f"<{tag}>$1</{tag}>"))).otherwise(text)
+    return F.when(F.size(terms) > 0, F.regexp_replace(text, F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])("), F.array_join(safe, "|"), F.lit(r")(?![\p{L}\p{N}_])")), F.lit(f"<{tag}>$1</{tag}>"))).otherwise(text)
 
 
 def fragments(text: Column, terms: Column, count: int = 2, size: int = 160, tag: str = "mark") -> Column:

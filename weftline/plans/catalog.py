@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import cleaning, indexing, matching, serving  # noqa: F401  (they register themselves)
+from .base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
