@@ -1,7 +1,8 @@
 """Media columns: local image descriptors find cropped or edited copies.
 
 Corners (Harris) at several scales of a grey image get an orientation from the intensity centroid around them and a
-128-bit descriptor of binary tests turned to that orientation.  Descriptors of two images are joined where they agree in
+128-bit descriptor of binary tests turned to that orientation.  The tests are chosen (:func:`learned_tests`) to be balanced
+and little correlated over invented pictures, so that descriptors of unlike corners rarely meet.  Descriptors of two images are joined where they agree in
 one of ``TABLES`` bit groups (Hamming tables) and differ in at most ``MAX_BITS`` bits.  Every match proposes a similarity
 transform (scale, turn, shift); images are copies if at least ``CONSENSUS`` matches agree with one of them.
 
@@ -13,6 +14,7 @@ that repeat an id are one image with the corners of all; no image matches itself
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import zlib
@@ -25,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import ship, stored
 
 SCALES, CORNERS, PATCH = (1.0, 1.25, 1.6), 24, 11  # corners at each scale; half width of the descriptor patch
-TABLES, TABLE_BITS, MAX_BITS, CONSENSUS, SHIFT, TURN = 6, 21, 22, 6, 4.0, 0.25
-_TESTS = np.clip(np.random.default_rng(0xB41F).normal(0, 4.2, (128, 4)), -9, 9)
+TABLES, TABLE_BITS, MAX_BITS, CONSENSUS, SHIFT, TURN = 6, 21, 18, 6, 4.0, 0.25
+POOL, LEARN_FROM, BALANCE = 3000, 16, 0.15  # tests to choose from, pictures to choose them on
 
 
 def encode_png(img: np.ndarray) -> bytes:
@@ -112,9 +114,8 @@ _DISC_Y, _DISC_X = np.mgrid[-7:8, -7:8]
 _DISC = (_DISC_Y**2 + _DISC_X**2 <= 49).astype(np.float32)
 
 
-def describe(img: np.ndarray) -> pd.DataFrame:
-    """``x, y, scale, angle, hi, lo`` of every corner of an image."""
-    out = []
+def corners(img: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(scale, smoothed picture, x, y, angle) at each scale with corners."""
     for scale in SCALES:
         a = _blur(resize(img, scale) if scale != 1 else img.astype(np.float32))
         h, w = a.shape
@@ -136,14 +137,47 @@ def describe(img: np.ndarray) -> pd.DataFrame:
         ys, xs = ys[best] + PATCH + 1, xs[best] + PATCH + 1
         patch = a[ys[:, None, None] + _DISC_Y, xs[:, None, None] + _DISC_X] * _DISC
         angle = np.arctan2((patch * _DISC_Y).sum((1, 2)), (patch * _DISC_X).sum((1, 2)))
-        c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
-        smooth, value = _blur(a), []
-        for k in (0, 2):
-            tx, ty = _TESTS[:, k][None], _TESTS[:, k + 1][None]
-            px = np.clip(np.rint(xs[:, None] + c * tx - s * ty).astype(int), 0, w - 1)
-            py = np.clip(np.rint(ys[:, None] + s * tx + c * ty).astype(int), 0, h - 1)
-            value.append(smooth[py, px])
-        bits = np.packbits(value[0] < value[1], axis=1).view(">i8")
+        yield scale, _blur(a), xs, ys, angle
+
+
+def tested(smooth: np.ndarray, xs: np.ndarray, ys: np.ndarray, angle: np.ndarray, tests: np.ndarray) -> np.ndarray:
+    """Outcome of every test (x1, y1, x2, y2 around the corner, turned by its angle) at every corner."""
+    c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+    value = []
+    for k in (0, 2):
+        tx, ty = tests[:, k][None], tests[:, k + 1][None]
+        px = np.clip(np.rint(xs[:, None] + c * tx - s * ty).astype(int), 0, smooth.shape[1] - 1)
+        py = np.clip(np.rint(ys[:, None] + s * tx + c * ty).astype(int), 0, smooth.shape[0] - 1)
+        value.append(smooth[py, px])
+    return value[0] < value[1]
+
+
+@functools.cache
+def learned_tests(n: int = 128) -> np.ndarray:
+    """``n`` of ``POOL`` random tests, those within ``BALANCE`` of even, each as little correlated with those before it as leaves enough."""
+    pool = np.clip(np.random.default_rng(0xB41F).normal(0, 5.5, (POOL, 4)), -9, 9)
+    x = np.concatenate([tested(*at, pool) for k in range(LEARN_FROM) for _, *at in corners(draw((1 << 40) + k))]).astype(np.float32)
+    z = x - x.mean(0)
+    z /= np.sqrt((z**2).sum(0)) + 1e-9
+    lean = np.abs(x.mean(0) - 0.5)
+    order = [j for j in np.argsort(lean, kind="stable") if lean[j] <= BALANCE]
+    alike, limit = np.abs(z.T @ z), 0.2
+    while True:
+        take: list[int] = []
+        for j in order:
+            if not take or alike[j, take].max() < limit:
+                take.append(j)
+            if len(take) == n:
+                return pool[np.random.default_rng(7).permutation(take)]  # all tables alike
+        limit += 0.05
+
+
+def describe(img: np.ndarray, tests: np.ndarray | None = None) -> pd.DataFrame:
+    """``x, y, scale, angle, hi, lo`` of every corner of an image."""
+    tests = learned_tests() if tests is None else tests
+    out = []
+    for scale, smooth, xs, ys, angle in corners(img):
+        bits = np.packbits(tested(smooth, xs, ys, angle, tests), axis=1).view(">i8")
         out.append(pd.DataFrame({"x": xs * scale, "y": ys * scale, "scale": scale, "angle": angle, "hi": bits[:, 0].astype(np.int64), "lo": bits[:, 1].astype(np.int64)}))
     empty = pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("x", float), ("y", float), ("scale", float), ("angle", float), ("hi", np.int64), ("lo", np.int64))})
     return pd.concat(out, ignore_index=True) if out else empty
@@ -155,6 +189,7 @@ _POINT = "media_id long, x double, y double, scale double, angle double, hi long
 def descriptors(media: DataFrame, id_column: str = "media_id", column: str = "image") -> DataFrame:
     """A row for each corner of each image."""
     ship(media.sparkSession)
+    tests = learned_tests()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -163,7 +198,7 @@ def descriptors(media: DataFrame, id_column: str = "media_id", column: str = "im
                 for key, data in zip(pdf["media_id"].iloc[i : i + 256], pdf["image"].iloc[i : i + 256]):
                     img = decode(data)
                     if img is not None:
-                        parts.append(describe(img).assign(media_id=key))
+                        parts.append(describe(img, tests).assign(media_id=key))
                 if parts:
                     yield pd.concat(parts)[["media_id", "x", "y", "scale", "angle", "hi", "lo"]]
 
@@ -221,8 +256,8 @@ def copies(media: DataFrame, id_column: str = "media_id", column: str = "image")
 def draw(seed: int, size: int = 96) -> np.ndarray:
     """An invented textured picture."""
     rng = np.random.default_rng(seed)
-    img = 0.6 * resize(rng.uniform(0, 255, (size // 6, size // 6)).astype(np.float32), 1 / 6) + 0.4 * resize(rng.uniform(0, 255, (size // 12, size // 12)).astype(np.float32), 1 / 12)
-    return np.clip(img, 0, 255)
+    layer = lambda cell: resize(rng.uniform(0, 255, (size // cell, size // cell)).astype(np.float32), 1 / cell)
+    return np.clip((0.45 * layer(4) + 0.35 * layer(8) + 0.2 * layer(16) - 128) * 1.6 + 128, 0, 255)
 
 
 def edit(img: np.ndarray, kind: int) -> np.ndarray:
