@@ -75,6 +75,13 @@ def log_odds(b: Bags, model: Model) -> tuple[np.ndarray, np.ndarray]:
         return z, np.log(-np.expm1(clean)) - clean
 
 
+def _slices(texts: list[str], rows: np.ndarray) -> Iterator[tuple[np.ndarray, Bags]]:
+    """(row numbers, bags) of the rows, about a chunk of text at a time."""
+    ends = np.cumsum([len(texts[i]) for i in rows]) // textkit.CHUNK_BYTES
+    for part in np.split(rows, np.flatnonzero(np.diff(ends)) + 1):
+        yield part, bags([texts[i] for i in part])
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
     """Noisy-or maximum likelihood by Adam on two thirds, threshold on the rest."""
     toxic = np.asarray(toxic, bool)
@@ -86,35 +93,42 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         turn[kind] = np.arange(kind.sum()) % 3
     train = turn > 0 if len(texts) >= 30 else np.ones(len(texts), bool)
     held = ~train if len(texts) >= 30 else train
-    b, y = bags([t for t, k in zip(texts, train) if k]), toxic[train]
-    seen, _ = textkit.distinct(b.doc[b.sentence] * np.int64(size) + b.feature)
+    y = toxic[train]
+    every, in_bad = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for part, b in _slices(texts, np.flatnonzero(train)):
+        seen, _ = textkit.distinct(b.doc[b.sentence] * np.int64(size) + b.feature)
+        every += np.bincount(seen % size, minlength=size)
+        in_bad += np.bincount(seen[toxic[part][seen // size]] % size, minlength=size)
     bad, good = y.sum(), (~y).sum()
-    in_bad = np.bincount(seen[y[seen // size]] % size, minlength=size)
-    every = np.bincount(seen % size, minlength=size)
     rate = (every + 0.5) / (len(y) + 1)
     lift = (in_bad / bad - (every - in_bad) / good) / np.sqrt(rate * (1 - rate) * (1 / bad + 1 / good))
     common = (every >= min(MIN_DOCS, max(1, int(bad) // 4))) & (lift > MIN_LIFT)  # kinds of word that mark toxic documents
-    known = common[b.feature]
-    used, feature = np.unique(b.feature[known], return_inverse=True)
-    sentence = b.sentence[known]
+    kept, owners, n = [], [], 0
+    for part, b in _slices(texts, np.flatnonzero(train)):  # only what is common enough is held
+        known = common[b.feature]
+        kept.append((b.feature[known], b.sentence[known] + sum(map(len, owners))))
+        owners.append(b.doc + n)
+        n += len(part)
+    used, feature = np.unique(np.concatenate([f for f, _ in kept]), return_inverse=True)
+    sentence, doc = np.concatenate([s for _, s in kept]), np.concatenate(owners)
     theta = np.zeros(len(used) + 1)
     theta[-1] = -10.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     balance = np.where(y, len(y) / (2 * y.sum()), len(y) / (2 * (~y).sum()))
     for step in range(1, STEPS + 1):
-        z = np.bincount(sentence, theta[:-1][feature], len(b.doc)) + theta[-1]
+        z = np.bincount(sentence, theta[:-1][feature], len(doc)) + theta[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        miss = np.exp(-np.bincount(b.doc, np.logaddexp(0, z), b.docs))
+        miss = np.exp(-np.bincount(doc, np.logaddexp(0, z), n))
         told = NOISE + (1 - 2 * NOISE) * np.where(y, 1 - miss, miss)  # a label is wrong with probability NOISE
         pull = np.where(y, 1, -1) * (1 - 2 * NOISE) * miss / told * balance
-        dz = pull[b.doc] * p
+        dz = pull[doc] * p
         grad = np.append(np.bincount(feature, dz[sentence], len(used)), dz.sum()) / len(y) - 1e-5 * np.append(theta[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     weights = np.zeros(size, np.float32)
     weights[used] = theta[:-1]
     model = Model(weights, float(theta[-1]), 0.0)
-    score = np.clip(log_odds(bags([t for t, k in zip(texts, held) if k]), model)[1], -1e3, 1e3)
+    score = np.clip(np.concatenate([log_odds(b, model)[1] for _, b in _slices(texts, np.flatnonzero(held))]), -1e3, 1e3)
     return model._replace(threshold=threshold(score, toxic[held]))
 
 
