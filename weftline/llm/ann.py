@@ -69,7 +69,7 @@ class Nearest:
                 near = np.broadcast_to(ids, d.shape)
             self.looked += len(r) * len(ids)
             d = np.concatenate([self.d[r], np.round(d, 7)], axis=1)
-            near = np.concatenate([self.id[r], near], axis=1)
+            near = np.concatenate([self.id[r], np.where(np.isinf(d[:, self.k :]), np.iinfo(np.int64).max, near)], axis=1)
             order = np.lexsort((near, d), axis=1)[:, : self.k]
             self.d[r], self.id[r] = np.take_along_axis(d, order, 1), np.take_along_axis(near, order, 1)
 
