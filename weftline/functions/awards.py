@@ -34,7 +34,7 @@ def nih(text: Column) -> Column:
     year = F.when(F.length(after) == 2, F.regexp_extract(after, "^([0-9]{2})$", 1)).otherwise(F.regexp_extract(after, long, 1))
     more = F.when(F.length(after) == 2, F.when(after.rlike("^[0-9]{2}$"), "").otherwise(after)).otherwise(F.regexp_extract(after, long, 2))
     fields = {"application_type": kind, "activity_code": activity, "institute_code": part(2), "serial_number": part(3), "support_year": year, "other_suffixes": more}
-    return F.when(s.rlike(core), F.struct(*[_some(v).alias(k) for k, v in fields.items()]))
+    return F.when(s.rlike(core), F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), _some(v))]))
 
 
 def nih_text(a: Column) -> Column:
@@ -70,7 +70,7 @@ def nsf(text: Column) -> Column:
     pair = "([A-Z]{3,4})([0-9]{7})"
     org = F.when(url.isNull(), _some(F.regexp_extract(s, pair, 1)))
     number = F.coalesce(url, _some(F.regexp_extract(s, pair, 2)), F.regexp_substr(s, F.lit("[0-9]{7}")))
-    return F.when(number.isNotNull(), F.struct(org.alias("org_id"), number.alias("award_id")))
+    return F.when(number.isNotNull(), F.named_struct(F.lit("org_id"), org, F.lit("award_id"), number))
 
 
 def nsf_text(a: Column) -> Column:

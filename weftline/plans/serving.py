@@ -13,9 +13,11 @@ from .base import query
 
 @query("""
 WITH hit AS (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' OR c_nationkey IN (3, 7))
-SELECT c_custkey AS pk, c_name AS title, c_acctbal AS modified FROM customer WHERE c_custkey IN (SELECT * FROM hit) AND contains(lower(c_name), '1') ORDER BY modified DESC NULLS LAST, pk LIMIT 25 OFFSET 25""")
+SELECT pk, title, modified FROM (
+  SELECT c_custkey AS pk, c_name AS title, c_acctbal AS modified, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS r, count(*) OVER () AS n
+  FROM customer WHERE c_custkey IN (SELECT * FROM hit) AND contains(lower(c_name), '1')) WHERE (r - 1) // 25 + 1 = least(2, ceil(n / 25.0))""")
 def facet_page(t):
-    """Records under any of two facets, filtered by text, the second page of 25 by newest first."""
+    """Records under any of two facets, filtered by text, the second page of 25 (or the last) by newest first."""
     c = t("customer").select(F.col("c_custkey").alias("pk"), F.col("c_name").alias("title"), F.col("c_acctbal").alias("modified"), "c_mktsegment", "c_nationkey")
     lists = match.entities(c.select("pk", F.array(F.lower("c_mktsegment")).alias("s"), F.array(F.col("c_nationkey").cast("string")).alias("n")), ["pk"], {"ORG": "s", "FUNDER": "n"}).select(F.col("entity_type").alias("kind"), F.col("entity").alias("value"), "pk")
     found = c.select("pk", "title", "modified").join(hub.facets(lists, {"ORG": ["BUILDING"], "FUNDER": ["3", "7"]}), "pk", "left_semi")
