@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.operators import audit, enrich, hub, index, match
+from weftline.__main__ import main
+from weftline.operators import audit, enrich, hub, index, match, normalise
 from weftline.sources import readers, registries, sinks
 from weftline.streaming import changes
 
@@ -182,3 +183,18 @@ def test_version_stream_agrees_with_batch(spark, tmp_path):
 def test_windowed_counts(spark):
     df = spark.createDataFrame([(T(2024, 1, 1, 0, 5), "a", 1.0), (T(2024, 1, 1, 0, 50), "a", 2.0), (T(2024, 1, 1, 1, 5), "a", 3.0)], "ts timestamp, event_type string, value double")
     assert sorted((r["n"], r["total"]) for r in changes.windowed_counts(df).collect()) == [(1, 3.0), (2, 3.0)]
+
+
+def test_plans_meet_the_works_index(tables):
+    works = normalise.works(index.build(tables, ["works_index.works"])["works_index.works"])
+    plans = normalise.plans(tables["plans.plans"])
+    assert plans.first()["project_end"] == dt.date(2023, 1, 1)
+    works = works.withColumn("publication_date", F.coalesce("publication_date", F.lit(dt.date(2021, 1, 1))))
+    got = match.entity_matches(match.entities(plans, ["plan_id", "project_start", "project_end"], normalise.PLAN_KINDS), match.entities(works, ["work_id", "publication_date"], normalise.WORK_KINDS)).collect()
+    assert {(r["work_id"], r["person_id_count"]) for r in got} == {("10.1/d", 1), ("10.1/a", 1)}
+
+
+def test_command_line(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text(json.dumps({"id": "https://openalex.org/F1", "display_name": "Fund"}))
+    main(["transform", "openalex-funders", f"{tmp_path}/in.jsonl", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out/openalex.funders").first()["id"] == "f1"

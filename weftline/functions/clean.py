@@ -18,6 +18,11 @@ FOLD_FROM = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿāăąćč
 FOLD_TO = "aaaaaaceeeeiiiinoooooouuuuyyaaaccddeeegiilnnoorsstuuuzzz"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: nested uses would copy its expression, and inside lambdas evaluate each copy."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -173,18 +178,22 @@ def public_name(c: Column) -> Column:
 def person_name(c: Column) -> Column:
     """No title, hyphen, apostrophe, or initial in the middle of three; lower case; NULL if nothing is left."""
     s = F.regexp_replace(c, rf"(?i)\b({TITLES})\.?(\s+|$)", "")
-    s = strip(F.translate(s, DASHES, ""))
-    parts = F.split(s, r"\s+")
-    short = (F.size(parts) == 3) & F.get(parts, F.lit(1)).rlike(r"^[a-zA-Z]\.?$")
-    return F.nullif(F.lower(F.when(short, F.concat_ws(" ", parts[0], parts[2])).otherwise(F.array_join(parts, " "))), F.lit(""))
+
+    def short(parts: Column) -> Column:
+        initial = (F.size(parts) == 3) & F.get(parts, F.lit(1)).rlike(r"^[a-zA-Z]\.?$")
+        return F.when(initial, F.concat_ws(" ", F.get(parts, F.lit(0)), F.get(parts, F.lit(2)))).otherwise(F.array_join(parts, " "))
+
+    return F.nullif(F.lower(let(F.split(strip(F.translate(s, DASHES, "")), r"\s+"), short)), F.lit(""))
 
 
 def author_name(c: Column) -> Column:
     """``Last, First M (x)`` becomes ``first m. last``; degrees and brackets go; NULL if nothing is left."""
-    s = F.regexp_replace(strip(F.regexp_replace(c, r"\s+", " ")), r"\s*\(.*?\)\s*", "")
-    parts = F.reverse(F.filter(F.transform(F.split(s, ","), lambda x: F.lower(strip(x))), lambda x: ~F.contains(x, F.lit("ph.d"))))
-    turned = F.transform(F.split(F.array_join(parts, " "), " "), lambda x: F.when(F.length(x) == 1, F.concat(x, F.lit("."))).otherwise(x))
-    return name(F.when(F.contains(s, F.lit(",")), F.array_join(turned, " ")).otherwise(s))
+    def turn(s: Column) -> Column:
+        parts = F.reverse(F.filter(F.transform(F.split(s, ","), lambda x: F.lower(strip(x))), lambda x: ~F.contains(x, F.lit("ph.d"))))
+        dotted = F.transform(F.split(F.array_join(parts, " "), " "), lambda x: F.when(F.length(x) == 1, F.concat(x, F.lit("."))).otherwise(x))
+        return F.when(F.contains(s, F.lit(",")), F.array_join(dotted, " ")).otherwise(s)
+
+    return name(let(F.regexp_replace(strip(F.regexp_replace(c, r"\s+", " ")), r"\s*\(.*?\)\s*", ""), turn))
 
 
 def split_name(c: Column) -> Column:
@@ -200,17 +209,26 @@ def parsed_name(c: Column) -> Column:
     ``Surname, Given Middle`` is turned; titles go; nobiliary particles belong to the surname; a single word is only
     ``full``; NULL and blank names give all NULL.
     """
-    full = blank_to_null(F.regexp_replace(c, r"\s+", " "))
-    bare = strip(F.regexp_replace(full, rf"(?i)\b({TITLES})\.?(\s+|$)", ""))
-    turned = F.when(F.contains(bare, F.lit(",")), F.concat_ws(" ", strip(F.substring_index(F.regexp_replace(bare, "^[^,]*,", ""), ",", 1)), strip(F.substring_index(bare, ",", 1)))).otherwise(bare)
-    surname = F.regexp_substr(turned, F.lit(r"((?<=\s)(van|von|de|der|den|da|di|la|le|del|dos|du|el|al|bin|ten|ter)\s)*\S+$"))
-    rest = strip(F.substr(turned, F.lit(1), F.length(turned) - F.length(surname)))
-    first, middle = blank_to_null(F.substring_index(rest, " ", 1)), blank_to_null(F.regexp_replace(rest, r"^\S+\s*", ""))
-    initials = F.array_join(F.transform(F.split(middle, " "), lambda x: F.upper(F.substring(x, 1, 1))), "")
-    many = first.isNotNull()
-    none = F.lit(None).cast("string")
-    fields = {"first_initial": F.upper(F.substring(first, 1, 1)), "given_name": first, "middle_initials": F.nullif(initials, F.lit("")), "middle_names": middle, "surname": surname}
-    return F.struct(*[F.when(many, v).otherwise(none).alias(k) for k, v in fields.items()], full.alias("full"))
+    family = r"((?<=\s)(van|von|de|der|den|da|di|la|le|del|dos|du|el|al|bin|ten|ter)\s)*\S+$"
+    whole = let(blank_to_null(F.regexp_replace(c, r"\s+", " ")), lambda full: F.named_struct(F.lit("full"), full, F.lit("bare"), strip(F.regexp_replace(full, rf"(?i)\b({TITLES})\.?(\s+|$)", ""))))
+
+    def turn(n: Column) -> Column:
+        bare = n["bare"]
+        comma = F.concat_ws(" ", strip(F.substring_index(F.regexp_replace(bare, "^[^,]*,", ""), ",", 1)), strip(F.substring_index(bare, ",", 1)))
+        return F.named_struct(F.lit("full"), n["full"], F.lit("name"), F.when(F.contains(bare, F.lit(",")), comma).otherwise(bare))
+
+    def cut(n: Column) -> Column:
+        surname = F.regexp_substr(n["name"], F.lit(family))
+        return F.named_struct(F.lit("full"), n["full"], F.lit("surname"), surname, F.lit("rest"), strip(F.regexp_replace(n["name"], family, "")))
+
+    def fields(n: Column) -> Column:
+        first, middle = blank_to_null(F.substring_index(n["rest"], " ", 1)), blank_to_null(F.regexp_replace(n["rest"], r"^\S+\s*", ""))
+        initials = F.nullif(F.array_join(F.transform(F.split(middle, " "), lambda x: F.upper(F.substring(x, 1, 1))), ""), F.lit(""))
+        surname = F.when(n["rest"] != "", n["surname"])
+        got = {"first_initial": F.nullif(F.upper(F.substring(first, 1, 1)), F.lit("")), "given_name": first, "middle_initials": initials, "middle_names": middle, "surname": surname, "full": n["full"]}
+        return F.named_struct(*[x for k, v in got.items() for x in (F.lit(k), v)])
+
+    return let(let(let(whole, turn), cut), fields)
 
 
 def creator_name(given: Column, family: Column, whole: Column) -> Column:
