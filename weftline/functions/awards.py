@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .clean import strip
+from .clean import let, strip
 
 NIH, NSF = "01cwqze88", "021nxhr62"
 JUNK = """- 0 0000 001 1 12 123 1234 12345 123456 12345678 123456789 123457 none abc123 abcdef n/a na na.com nil pending tbd
@@ -23,7 +23,10 @@ def nih(text: Column) -> Column:
 
     NULL unless two letters and six digits are found.  A prefix or suffix that fits no rule is left out.
     """
-    s = strip(F.regexp_replace(F.upper(text), "[- ]", ""))
+    return let(strip(F.regexp_replace(F.upper(text), "[- ]", "")), _nih)
+
+
+def _nih(s: Column) -> Column:
     core = "^(.*?)([A-Z]{2})([0-9]{6})(.*)$"
     part = lambda k: F.regexp_extract(s, core, k)
     before = F.replace(F.replace(part(1), F.lit("RO1"), F.lit("R01")), F.lit("NIH"), F.lit(""))
@@ -39,6 +42,10 @@ def nih(text: Column) -> Column:
 
 def nih_text(a: Column) -> Column:
     """The canonical identifier of a parsed award."""
+    return let(a, _nih_text)
+
+
+def _nih_text(a: Column) -> Column:
     tail = F.concat_ws("", a["support_year"], a["other_suffixes"])
     whole = F.concat_ws("", a["application_type"], a["activity_code"], a["institute_code"], a["serial_number"], F.when(tail != "", F.concat(F.lit("-"), tail)))
     return F.when(a.isNotNull(), whole)
@@ -50,6 +57,10 @@ def nih_url(appl_id: Column) -> Column:
 
 def nih_variants(a: Column) -> Column:
     """Every spelling to search for: with and without year, suffix, activity code, application type and spaces."""
+    return let(a, _nih_variants)
+
+
+def _nih_variants(a: Column) -> Column:
     base = F.concat_ws(" ", a["institute_code"], a["serial_number"])
     dated = F.concat(base, F.lit("-"), a["support_year"])
     forms = F.array_compact(F.array(base, dated, F.concat(dated, a["other_suffixes"])))

@@ -188,6 +188,7 @@ def person_name(c: Column) -> Column:
 
 def author_name(c: Column) -> Column:
     """``Last, First M (x)`` becomes ``first m. last``; degrees and brackets go; NULL if nothing is left."""
+
     def turn(s: Column) -> Column:
         parts = F.reverse(F.filter(F.transform(F.split(s, ","), lambda x: F.lower(strip(x))), lambda x: ~F.contains(x, F.lit("ph.d"))))
         dotted = F.transform(F.split(F.array_join(parts, " "), " "), lambda x: F.when(F.length(x) == 1, F.concat(x, F.lit("."))).otherwise(x))
@@ -342,11 +343,15 @@ def letter_pairs(c: Column) -> Column:
 
 def pair_similarity(a: Column, b: Column) -> Column:
     """Dice coefficient of the letter pairs as bags; 0 without pairs."""
-    x, y = letter_pairs(a), letter_pairs(b)
-    count = lambda bag, p: F.size(F.filter(bag, lambda q: q == p))
-    both = F.aggregate(F.array_intersect(x, y), F.lit(0), lambda n, p: n + F.least(count(x, p), count(y, p)))
-    total = F.size(x) + F.size(y)
-    return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+
+    def dice(n: Column) -> Column:
+        x, y = n["x"], n["y"]
+        count = lambda bag, p: F.size(F.filter(bag, lambda q: q == p))
+        both = F.aggregate(F.array_intersect(x, y), F.lit(0), lambda s, p: s + F.least(count(x, p), count(y, p)))
+        total = F.size(x) + F.size(y)
+        return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+
+    return let(F.named_struct(F.lit("x"), letter_pairs(a), F.lit("y"), letter_pairs(b)), dice)
 
 
 def content_hash(columns: Iterable[str]) -> Column:
