@@ -359,9 +359,13 @@ def content_hash(columns: Iterable[str]) -> Column:
     return F.md5(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
 
 
+def dot(a: Column, b: Column) -> Column:
+    """Inner product of two vectors, summed as doubles."""
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
 def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cosine of two vectors, summed as doubles; NULL if either is zero."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    """1 - cosine of two vectors; NULL if either is zero."""
     return 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
 
 

@@ -64,8 +64,11 @@ def reranked(pairs: DataFrame, plan_vectors: DataFrame, work_vectors: DataFrame,
 
 def vector_search(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
     """``query_id, base_id, distance, rank``: exact nearest rows of ``base`` (id, vector) for few ``queries`` (id, vector)."""
-    far = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("__q")).crossJoin(base.select(F.col("id").alias("base_id"), F.col("vector").alias("__b")))
-    far = far.select("query_id", "base_id", F.round(clean.cosine_distance(F.col("__q"), F.col("__b")), 6).alias("distance")).where("distance is not null")
+    square = lambda c: clean.dot(F.col(c), F.col(c))  # noqa: E731  (once a row, not once a pair)
+    q = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("__q"), square("vector").alias("__qq"))
+    b = base.select(F.col("id").alias("base_id"), F.col("vector").alias("__b"), square("vector").alias("__bb"))
+    cosine = F.try_divide(clean.dot(F.col("__q"), F.col("__b")), F.sqrt(F.col("__qq") * F.col("__bb")))
+    far = q.crossJoin(b).select("query_id", "base_id", F.round(1 - cosine, 6).alias("distance")).where("distance is not null")
     return top_k(far, ["query_id"], k, F.col("distance"), F.col("base_id"), rank="rank")
 
 

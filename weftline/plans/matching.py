@@ -56,11 +56,11 @@ def vector_rerank(t):
 
 
 @query(f"""SELECT * FROM (SELECT q.vec_id AS query_id, b.vec_id AS base_id, {_COS.format(a="q.embedding", b="b.embedding")} AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS.format(a="q.embedding", b="b.embedding")}, b.vec_id) AS rank
-FROM embeddings q, embeddings b WHERE q.label = 1) WHERE rank <= 5""")
+FROM embeddings q, embeddings b) WHERE rank <= 5""")
 def vector_search(t):
-    """The queries are the vectors of one label, as plans are few beside works."""
-    v = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    return match.vector_search(v.where("label = 1"), v, 5).withColumn("rank", F.col("rank").cast("long"))
+    """Every vector is a query."""
+    v = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return match.vector_search(v, v, 5).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("""SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) ORDER BY doc_id LIMIT 100""")
@@ -112,9 +112,9 @@ def phrase_match(t):
     return rows.select("doc_id", match.phrase(F.col("text"), F.col("words")).alias("found"))
 
 
-@query(r"""SELECT doc_id, replace(regexp_replace(chr(1) || regexp_replace(text, '([^\p{L}\p{N}_])', chr(1) || '\1' || chr(1), 'g') || chr(1), '(?i)' || chr(1) || '(of|und|que)' || chr(1), '<mark>\1</mark>', 'g'), chr(1), '') AS text FROM documents WHERE lang = 'en'""")
+@query(r"""SELECT doc_id, replace(regexp_replace(chr(1) || regexp_replace(text, '([^\p{L}\p{N}_])', chr(1) || '\1' || chr(1), 'g') || chr(1), '(?i)' || chr(1) || '(of|und|que)' || chr(1), '<mark>\1</mark>', 'g'), chr(1), '') AS text FROM documents""")
 def highlight(t):
-    return t("documents").where("lang = 'en'").select("doc_id", match.highlighted(F.col("text"), F.array(F.lit("of"), F.lit("und"), F.lit("que"))).alias("text"))
+    return t("documents").select("doc_id", match.highlighted(F.col("text"), F.array(F.lit("of"), F.lit("und"), F.lit("que"))).alias("text"))
 
 
 @query("""
