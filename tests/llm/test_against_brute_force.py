@@ -134,6 +134,17 @@ def test_toxicity_finds_the_offending_sentence():
         assert any(w in texts[450 + d].split(".")[b.number[mine[z[mine].argmax()]]] for w in bad)
 
 
+def test_toxicity_keeps_clean_documents_of_any_length():
+    r = random.Random(16)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    clean = lambda: " ".join(r.choice(words) for _ in range(8))
+    texts = [". ".join([clean() for _ in range(5)] + [f"{clean()} zorkish you" if i % 5 == 0 else clean()]) for i in range(450)]
+    model = toxicity.fit(texts, np.array([i % 5 == 0 for i in range(450)]))
+    long = [clean() for _ in range(50_000)]
+    odds = toxicity.log_odds(toxicity.bags([". ".join(long), ". ".join([*long, f"{clean()} zorkish you"]), ". ".join(long[:6])]), model)[1]
+    assert (odds > model.threshold).tolist() == [False, True, False]
+
+
 def test_lm_log_probabilities_and_learning(spark):
     r = random.Random(7)
     text = lambda: " ".join(itertools.chain(*[("red fox", "blue sky", "green tree")[r.randrange(3)].split() for _ in range(60)]))

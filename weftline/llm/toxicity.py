@@ -1,8 +1,10 @@
-"""Multiple-instance toxicity: sentence scores, a noisy-or over them, and the sentences that offend.
+"""Multiple-instance toxicity: sentence scores learned through a noisy-or, and the sentences that offend.
 
 Only documents are labelled.  A document is toxic unless every sentence is clean, so with sentence scores
 p_s = sigmoid(b + sum of the weights of words and of word beginnings) the document scores 1 - prod(1 - p_s); the likelihood of the document
-labels under that noisy-or trains the weights.  The threshold is calibrated on held-out labelled documents.
+labels under that noisy-or trains the weights.  A document is then rejected for its worst sentence alone: many sentences of
+the base score, which a noisy-or adds up, say nothing.  The threshold on that sentence's log-odds is calibrated on held-out
+labelled documents.
 
 Fitting reads at most ``MAX_LABELLED`` labelled documents (whole texts; those with the smallest hashed ids),
 scoring reads every document and every sentence.
@@ -36,7 +38,7 @@ _SPLIT = re.compile(r"[\x00\n!.?]")
 class Model(NamedTuple):
     weights: np.ndarray
     bias: float
-    threshold: float  # on the log-odds of the document
+    threshold: float  # on the log-odds of the document's worst sentence
 
 
 class Bags(NamedTuple):
@@ -68,11 +70,11 @@ def bags(texts: list[str]) -> Bags:
 
 
 def log_odds(b: Bags, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(of each sentence, of each document); a document without words has -inf."""
+    """(of each sentence, of the worst sentence of each document); a document without words has -inf."""
     z = np.bincount(b.sentence, model.weights[b.feature], len(b.doc)) + model.bias
-    clean = -np.bincount(b.doc, np.logaddexp(0, z), b.docs)  # log prod(1 - p)
-    with np.errstate(divide="ignore"):
-        return z, np.log(-np.expm1(clean)) - clean
+    worst = np.full(b.docs, -np.inf)
+    np.maximum.at(worst, b.doc, z)
+    return z, worst
 
 
 def _slices(texts: list[str], rows: np.ndarray) -> Iterator[tuple[np.ndarray, Bags]]:
