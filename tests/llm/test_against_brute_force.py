@@ -113,6 +113,28 @@ def test_secrets_on_held_out_findings():
     assert said[true].mean() >= 0.97 and said[~true].mean() <= 0.1
 
 
+HIDDEN = [
+    ("the config has password: Tr0ub4d!or and more", "Tr0ub4d!or"),
+    ('{"user": "ann", "password": "kP9#x.2Lq"}', "kP9#x.2Lq"),
+    ("url postgres://admin:Zx8qLm2@db.example.com/main here", "Zx8qLm2"),
+    ("set api_key=QwxZvKpLrTbNmHgFdSj now", "QwxZvKpLrTbNmHgFdSj"),
+    ("a key kQzXvWpRjTbNfHgYdSmLcBxZqKvJwPtR there", "kQzXvWpRjTbNfHgYdSmLcBxZqKvJwPtR"),
+]
+
+
+@pytest.mark.parametrize("text,secret", HIDDEN)
+def test_secrets_of_any_length_and_alphabet(text, secret):
+    at = text.index(secret)
+    assert any(s <= at and at + len(secret) <= e and p >= secrets.default_net().threshold for _, s, e, p in secrets.scan_texts([text], secrets.default_net()))
+
+
+def test_secrets_without_a_candidate_count_as_lost():
+    found = secrets.labelled_findings(900)
+    unseen = [("say 7q", 4, 6, True)] * 9
+    assert not secrets.candidates("say 7q")
+    assert secrets.fit(found + unseen, epochs=1, recall=0.9).threshold < 1 and len([f for f in found if f[3]]) == 450
+
+
 def test_toxicity_finds_the_offending_sentence():
     r = random.Random(6)
     words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)]

@@ -1,11 +1,14 @@
 """Secret scan: a character convolutional network over every candidate and its surroundings.
 
-A candidate is a maximal run of at least ``MIN_RUN`` characters out of ``A-Z a-z 0-9 _ + / = -`` that holds a digit.
+Candidates are maximal runs of at least ``MIN_RUN`` characters out of ``A-Z a-z 0-9 _ + / = -``; what follows a
+credential-like name and ``=``, ``:`` or ``=>``, or ``Bearer``, to its closing quote or the next space, at any length and of
+any characters; and the password in ``scheme://user:password@host``.  Candidates that overlap are one.
 The network sees its characters and ``CONTEXT`` characters on both sides, each as a character class embedding with a
 flag for "inside the candidate"; a width-5 convolution, a maximum over positions and a logistic output follow.  Runs
 longer than a window are covered by overlapping windows, of which the best counts.  It is trained with numpy on
 labelled findings (:func:`labelled_findings` by default, ``FINDINGS`` of them); its log-odds are calibrated on a third
-of them, and the threshold is the highest that keeps at least ``RECALL`` of the held-out secrets.
+of them, and the threshold is the highest that keeps at least ``RECALL`` of the held-out secrets, where a secret that
+no candidate covers counts as lost.
 
 Defined results: NULL and empty texts have no findings; a NULL ``doc_id`` is carried along as NULL; repeated rows
 give repeated findings; extra columns are not read, and come back unchanged from :func:`redact`.
@@ -31,7 +34,13 @@ from .common import ship
 MIN_RUN, CONTEXT, WINDOW, RECALL, FINDINGS, FILTERS, EMBED = 16, 20, 48, 0.99, 6000, 24, 8
 MASK = "[SECRET]"
 _RUN = re.compile(r"[A-Za-z0-9_+/=\-]{%d,}" % MIN_RUN)
-_DIGIT = re.compile(r"[0-9]")
+_HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "pin")
+_NAMED = re.compile(
+    r"""(?ai)(?P<query>[?&][\w.\-]{0,40})?(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_\- ]?key|(?:access|private|secret|auth|account|signing|encryption|master)[_\- ]?key|credentials?|auth|\bkey|\bpin)"""
+    r"""(?:[_\-]?(?:id|key|token|value|hash|code|\w{1,20}))?["'\]]{0,2}[ \t]{0,4}(?::=|=>|==?|:)[ \t]{0,4}(?:Bearer[ \t]+|Basic[ \t]+)?(?P<value>"[^"\n]+"|'[^'\n]+'|`[^`\n]+`|\S+)"""
+)
+_BEARER = re.compile(r"""(?ai)\bbearer[ \t]+(?P<value>[^\s"']+)""")
+_URL = re.compile(r"""(?a)://[^\s/:@"'<>]{0,200}:(?P<value>[^\s/"'<>]+)@""")
 _SIZE = WINDOW + 2 * CONTEXT
 _CLASS = np.full(256, 97, np.int64)  # 0 pads, 1-95 printable ASCII, 96 space-like, 97 the rest
 _CLASS[32:127] = np.arange(1, 96)
@@ -49,8 +58,30 @@ class Net(NamedTuple):
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Character spans of every candidate."""
-    return [m.span() for m in _RUN.finditer(text) if _DIGIT.search(m.group())]
+    """Character spans of every candidate, in order and apart."""
+    spans = [m.span() for m in _RUN.finditer(text)]
+    low = text.lower()
+    if any(h in low for h in _HINTS):
+        for m in (*_NAMED.finditer(text), *_BEARER.finditer(text)):
+            s, e = m.span("value")
+            if text[s] in "\"'`" and e - s > 2 and text[e - 1] == text[s]:
+                s, e = s + 1, e - 1
+            else:
+                value = text[s:e]
+                if m.groupdict().get("query"):
+                    value = re.split("[&#]", value, maxsplit=1)[0]
+                s, e = s + len(value) - len(value.lstrip("\"'`")), s + len(value.rstrip(".,;)]}>\"'`"))
+            if s < e:
+                spans.append((s, e))
+    if "://" in text:
+        spans += [m.span("value") for m in _URL.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
 
 
 def windows(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
@@ -139,8 +170,11 @@ def fit(findings: list[tuple[str, int, int, bool]], epochs: int = 8, recall: flo
         hess = np.array([[(w * z * z).sum() + 1e-2, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-2]])
         a, b = np.array([a, b]) - np.linalg.solve(hess, g)
     net = net._replace(scale=float(a), shift=float(b))
-    good = np.sort(probability(net, codes[held], inside[held])[t > 0])
-    return net._replace(threshold=float(min(0.5, good[int(np.floor((1 - recall) * len(good)))])))
+    secret = held[t > 0]
+    seen = np.array([any(s < findings[i][2] and e > findings[i][1] for s, e in candidates(findings[i][0])) for i in secret], bool)
+    good = np.sort(probability(net, codes[secret[seen]], inside[secret[seen]]))
+    spare = int(np.floor((1 - recall) * len(secret))) - int((~seen).sum())  # secrets that may still be lost
+    return net._replace(threshold=float(min(0.5, good[max(0, spare)])))
 
 
 def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int, int, bool]]:
@@ -151,6 +185,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
     b64 = lambda k: base64.b64encode(r.randbytes(k)).decode()
     syllables = [pick(string.ascii_lowercase, r.randint(2, 4)) for _ in range(300)]
     word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 3)))
+    spoken = lambda k: "".join(r.choice("b c d f g h k l m n p r s t v w z st th sch br tr pl qu".split() + [""]) + r.choice("a e e e i i o u ie ei ea io ou au".split()) + r.choice(["", "", "n", "n", "r", "s", "t", "l", "ng", "ck", "nd", "st", "rn"]) for _ in range(k))
     assign = lambda: r.choice([" = ", "=", ": ", ":", ' = "', '="', ": '", '": "'])
     name = lambda: r.choice(["", word() + "_", word().upper() + "_"]) + r.choice(["token", "secret", "api_key", "apikey", "password", "passwd", "pwd", "access_key", "auth_token", "TOKEN", "SECRET_KEY", "PASSWORD", "client_secret", "private_key"])
     plain = lambda: r.choice(["commit ", "sha1: ", "sha256:", "md5 ", "checksum ", "rev ", "id=", "uuid: ", "etag ", "ref ", "blob ", "build-", "trace ", "version ", "digest ", "order ", "isbn ", "file "])
@@ -163,6 +198,10 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
         lambda: ("", name() + "=" + pick(alnum, r.randint(12, 40))), lambda: (name() + assign(), pick(alnum + "_-", r.randint(16, 44))),
         lambda: (name() + assign(), b64(r.choice([18, 24, 32, 48]))), lambda: ("Authorization: Bearer ", pick(alnum + "-_", r.randint(24, 60))),
         lambda: ("-----BEGIN PRIVATE KEY-----\n", b64(120)),
+        lambda: (name() + assign(), pick(alnum, r.randint(4, 15))), lambda: (name() + assign(), pick(alnum + "!@#$.%^&*?~", r.randint(6, 24))),
+        lambda: (name() + assign(), word() + pick(string.digits + "!@#$.", r.randint(1, 5))), lambda: (name() + assign(), word().capitalize() + r.choice("!@#$_-.") + word() + pick(string.digits, 2)),
+        lambda: (r.choice(["postgres", "mysql", "redis", "mongodb", "https", "amqp"]) + "://" + r.choice(["", word(), "admin"]) + ":", pick(alnum + "!#$._-", r.randint(3, 24)) + "@" + word() + r.choice([".com", ":5432", ""]) + "/" + word()),
+        lambda: ("", pick(string.ascii_letters, r.randint(20, 48))), lambda: (name() + assign(), pick(string.ascii_letters, r.randint(8, 40))),
     ]
     decoy = [
         lambda: (plain(), pick(hexa, r.choice([32, 40, 64]))), lambda: (plain(), pick(hexa, r.choice([16, 20, 24]))),
@@ -172,16 +211,24 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int,
         lambda: ("", "".join(word().capitalize() for _ in range(4)) + str(r.randint(1, 99))), lambda: ("data:image/png;base64,", b64(60)),
         lambda: (name() + " of ", "-".join(word() for _ in range(4)) + str(r.randint(1, 9))), lambda: ("", "=" * r.randint(10, 20) + str(r.randint(1, 9)) + "=" * 10),
         lambda: ("", "-".join(pick(string.digits, 4) for _ in range(4))), lambda: ("", word() + word() + word() + word() + str(r.randint(0, 9))),
+        lambda: (name() + assign(), r.choice(["none", "None", "null", "true", "false", "required", "optional", "string", "str", "****", "********", "xxxxxxxx", "...", "<password>", "<your-token>", "${TOKEN}", "$PASSWORD", "{{ secret }}", "%s", "changeme", "your_api_key_here", "[SECRET]", "input()", "os.environ", "REDACTED"])),
+        lambda: ("", "-".join(word() for _ in range(r.randint(3, 7)))), lambda: ("", "/".join(word() for _ in range(r.randint(3, 7)))), lambda: ("", "_".join(word() for _ in range(r.randint(3, 7)))),
+        lambda: ("", "".join(word() for _ in range(r.randint(3, 5)))), lambda: ("", "".join(word().capitalize() for _ in range(r.randint(3, 6)))), lambda: ("", r.choice("-=_+/xaAno") * r.randint(16, 80)),
+        lambda: ("", spoken(r.randint(5, 11))), lambda: ("", spoken(r.randint(5, 11)).upper()), lambda: ("", spoken(r.randint(5, 9)).capitalize()),
+        lambda: ("", "-".join(spoken(r.randint(1, 4)) for _ in range(r.randint(3, 6)))), lambda: ("", "".join(spoken(r.randint(1, 3)).capitalize() for _ in range(r.randint(3, 6)))),
     ]
     out = []
     for i in range(n):
         before, body = r.choice(secret if i % 2 else decoy)()
         lead = r.choice([" ", "\n", "", '"']).join(["".join(r.choice([" ", " ", ". ", "\n"]) + word() for _ in range(r.randint(0, 6))), before])
-        found = [s for s in candidates(lead + body) if s[1] == len(lead + body)]
         tail = r.choice(["", '"', "'", ";", ".", ",", "\n", " "])
         text = lead + body + tail + "".join(r.choice([" ", ". "]) + word() for _ in range(r.randint(0, 6)))
+        end = len(lead) + (body.rindex("@") if "://" in before and "@" in body else len(body))
+        found = [s for s in candidates(text) if s[0] < end and s[1] > len(lead)]
         if found:
-            out.append((text, *found[0], bool(i % 2)))
+            out.append((text, *max(found, key=lambda s: min(s[1], end) - max(s[0], len(lead))), bool(i % 2)))
+        elif i % 2:  # a secret all the same
+            out.append((text, len(lead), end, True))
     return out
 
 
