@@ -70,6 +70,24 @@ def test_substring_finds_shared_passages_in_the_middle_and_shifted(spark):
         assert part in texts[x["first_doc_id"]] and len(part) >= 0.5 * len(shared[x["doc_id"] % 20])  # the chunks at both ends also hold other text
 
 
+def test_substring_tells_adjacent_passages_of_different_documents_apart(spark):
+    r = random.Random(12)
+    prose = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(n))
+
+    def halves(text):
+        _, _, _, _, c0, _ = substring.chunk_spans([text])
+        at = int(c0[len(c0) // 2])
+        return text[:at], text[at:]
+
+    (a, b), (other, _) = halves(prose(160)), halves(prose(160))  # each first half ends with a cut
+    rows = [(1, a + prose(60)), (9, other + a[-60:] + b), (20, a + b)]
+    got = {x["first_doc_id"]: (x["char_start"], x["char_end"]) for x in substring.repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 20").collect()}
+    assert set(got) == {1, 9} and got[1] == (0, len(a)) and len(a) - 60 <= got[9][0] <= len(a) and got[9][1] == len(a + b)
+    assert all((a + b)[s:e] in dict(rows)[first] for first, (s, e) in got.items())
+    cut = substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 20").first()
+    assert cut["text"] == ""
+
+
 def test_substring_chunks_cover_the_text():
     texts = ["", "a", "漢字" * 500, "plain text " * 90, "\n"]
     buffer, doc, starts, ends, c0, c1 = substring.chunk_spans(texts)

@@ -6,7 +6,9 @@ cut depends only on bytes just before it: an insertion moves later chunks withou
 ``MAX_CHUNK`` bytes are divided.  Cuts fall between characters.
 
 A chunk repeats if another document has one of the same 128-bit digest; its first occurrence is that of the
-smallest (doc_id, position).  Adjacent repeated chunks form a passage, reported from ``MIN_PASSAGE`` characters.
+smallest (doc_id, position).  Adjacent repeated chunks form a passage, reported from ``MIN_PASSAGE`` characters; where its
+chunks were first in different documents, each of these has a row for each stretch of it that it holds, without stretches under
+``MIN_PASSAGE`` characters inside another.
 
 Defined results: NULL and empty texts have no chunks; rows that repeat a ``doc_id`` are one document; a NULL
 ``doc_id`` is ignored; other columns are not read.
@@ -80,23 +82,43 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
-    """``doc_id, char_start, char_end, first_doc_id``: a row for each passage that a smaller ``doc_id`` has already.
+    """``doc_id, char_start, char_end, first_doc_id``: a row for each passage, or stretch of one, that a smaller ``doc_id`` has already.
 
     The digests are aggregated with map-side combining (a chunk in a million documents is one row from each
     task); only digests of two documents or more are joined back, so unrepeated chunks end at that join.
     """
     chunks = stored(chunk_table(docs))
     shared = chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("m")).where("first_doc_id < m").drop("m")
-    again = chunks.join(shared, ["d1", "d2"]).where("doc_id <> first_doc_id").select("doc_id", "c0", "c1", "first_doc_id").distinct()
+    again = chunks.join(shared, ["d1", "d2"]).where("doc_id <> first_doc_id").repartition("doc_id").distinct()
     by = Window.partitionBy("doc_id").orderBy("c0", "c1")
     runs = again.withColumn("new", F.when(F.col("c0") == F.lag("c1").over(by), 0).otherwise(1))
-    runs = runs.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    found = runs.groupBy("doc_id", "run").agg(F.min("c0").alias("char_start"), F.max("c1").alias("char_end"), F.min_by("first_doc_id", "c0").alias("first_doc_id"))
-    return found.where(F.col("char_end") - F.col("char_start") >= min_passage).select("doc_id", "char_start", "char_end", "first_doc_id")
+    runs = runs.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+    whole = Window.partitionBy("doc_id", "run")
+    runs = runs.withColumn("n", F.max("c1").over(whole) - F.min("c0").over(whole))
+    runs = stored(runs.withColumn("mixed", F.min("first_doc_id").over(whole) < F.max("first_doc_id").over(whole)))
+    runs_long = runs.where(F.col("n") >= min_passage)
+    ends = [F.min("c0").alias("char_start"), F.max("c1").alias("char_end")]
+    plain = runs_long.where("not mixed").groupBy("doc_id", "run").agg(*ends, F.first("first_doc_id").alias("first_doc_id"))
+
+    several = runs_long.where("mixed")
+    partners = several.select("doc_id", "run", F.col("first_doc_id").alias("partner")).distinct()
+    asked = several.join(partners, ["doc_id", "run"])
+    holds = runs.select(F.col("doc_id").alias("partner"), "d1", "d2").distinct()
+    held = asked.where("partner > first_doc_id").join(holds, ["partner", "d1", "d2"], "left_semi")  # a first document has no smaller one
+    held = held.select(*asked.columns).unionByName(asked.where("partner = first_doc_id"))
+    along = Window.partitionBy("doc_id", "run", "partner").orderBy("c0", "c1")
+    held = held.withColumn("new", F.when(F.col("c0") == F.lag("c1").over(along), 0).otherwise(1))
+    held = held.withColumn("part", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = held.groupBy("doc_id", "run", "partner", "part").agg(*ends)
+    wider = whole.orderBy("char_start", F.desc("char_end"), "partner").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.max("char_end").over(wider) >= F.col("char_end"), F.lit(False))
+    spans = spans.withColumn("inside", inside).where((F.col("char_end") - F.col("char_start") >= min_passage) | ~F.col("inside"))
+    columns = ["doc_id", "char_start", "char_end", "first_doc_id"]
+    return plain.select(*columns).unionByName(spans.withColumnRenamed("partner", "first_doc_id").select(*columns))
 
 
 def without_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """The documents with repeated passages cut out of ``text`` (their first occurrences stay); columns as they came."""
     spans = repeats(docs, min_passage).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("char_start", "char_end"))).alias("__spans"))
-    cut = F.expr("aggregate(__spans, named_struct('at', 0, 'text', ''), (acc, s) -> named_struct('at', s.char_end, 'text', concat(acc.text, substring(text, acc.at + 1, s.char_start - acc.at))), acc -> concat(acc.text, substring(text, acc.at + 1)))")
+    cut = F.expr("aggregate(__spans, named_struct('at', 0, 'text', ''), (acc, s) -> named_struct('at', greatest(acc.at, s.char_end), 'text', concat(acc.text, substring(text, acc.at + 1, greatest(s.char_start - acc.at, 0)))), acc -> concat(acc.text, substring(text, acc.at + 1)))")
     return docs.join(spans, "doc_id", "left").withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
