@@ -29,8 +29,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document goes."""
-    return packing.pack(docs)
+    """Where every piece of every document goes; bins are numbered in training order."""
+    return packing.pack_in_order(docs)
 
 
 STAGES = [("toxicity", reject_toxic), ("simhash", drop_near_copies), ("secrets", mask_secrets), ("mixing", mix_sources), ("packing", pack_bins)]

@@ -6,7 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from weftline.llm import ann, chat, lm, media, packing, secrets, simhash, substring, textkit, toxicity
+from weftline.llm import ann, chat, lm, media, mixing, packing, secrets, simhash, substring, textkit, toxicity
+from weftline.llm.common import stored
 
 
 def test_packing_never_worse_than_best_fit_and_near_the_bound():
@@ -88,6 +89,25 @@ def test_substring_tells_adjacent_passages_of_different_documents_apart(spark):
     assert cut["text"] == ""
 
 
+def test_packing_keeps_the_schedule_of_sources(spark):
+    r = random.Random(4)
+    rows = [(i, "w " * r.randint(20, 200), "big" if i % 12 else "small") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = mixing.mixed(docs)
+    plan = mixing.schedule(docs).toPandas()
+    size, kind = {i: len(t.split()) for i, t, _ in rows}, {i: s for i, _, s in rows}
+    for given in (stored(mixed), mixed):
+        got = packing.pack_in_order(given, capacity=1000).toPandas()
+        assert got["tokens"].sum() == plan["tokens"].sum() and got.groupby("bin")["tokens"].sum().max() <= 1000
+        assert all(n == size[i] for i, n in zip(got["doc_id"], got["tokens"]))
+        plan["at"] = (plan["tokens"].cumsum() * 8 // (plan["tokens"].sum() + 1)).astype(int)
+        share = lambda t, by: (t["tokens"] * (by == "small")).groupby(t["at"]).sum() / t.groupby("at")["tokens"].sum()
+        got = got.sort_values("bin", kind="stable")
+        got["at"] = (got["tokens"].cumsum() * 8 // (got["tokens"].sum() + 1)).astype(int)
+        have, want = share(got, got["doc_id"].map(kind)), share(plan, plan["source"])
+        assert want.iloc[-1] > 1.8 * want.iloc[0] and (have - want).abs().max() < 0.03
+
+
 def test_substring_chunks_cover_the_text():
     texts = ["", "a", "漢字" * 500, "plain text " * 90, "\n"]
     buffer, doc, starts, ends, c0, c1 = substring.chunk_spans(texts)

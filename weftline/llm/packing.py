@@ -6,7 +6,8 @@ one or two for one between underfull bins, always raising the sum of squared fil
 the bin count reaches the lower bound ceil(tokens / capacity).
 
 Shards of about ``shard_docs`` documents (by hashed id) are packed independently: their number grows with the data,
-and each loses at most part of a bin.
+and each loses at most part of a bin.  In training order (:func:`pack_in_order`) shards are consecutive windows of the
+rows instead, and bins are numbered in that order.
 
 Defined results: a row for every piece of every input row, repeated rows and NULL ids included; NULL and empty
 texts count 0 tokens and ride along in a bin; extra columns are not read.
@@ -18,11 +19,12 @@ import bisect
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ship
+from .common import ship, stored
 
 CAPACITY, SHARD_DOCS = 2048, 16384
+WINDOW_DOCS, LEAST_WINDOWS = 1024, 32  # of a window in training order; windows of a small table
 SCHEMA = "doc_id long, piece int, tokens int, bin long, at int"
 
 
@@ -145,3 +147,34 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
         return out[["doc_id", "piece", "tokens", "bin", "at"]]
 
     return slim.groupBy("shard").applyInPandas(run, SCHEMA)
+
+
+def pack_in_order(docs: DataFrame, capacity: int = CAPACITY, window_docs: int = WINDOW_DOCS) -> DataFrame:
+    """As :func:`pack`, over windows of consecutive rows: a bin holds rows of one window, and bin numbers ascend with the order.
+
+    The order is that of the rows: where ``docs`` is read from files, by file name and row, as a sorted table is written.
+    """
+    if capacity < 1:
+        raise ValueError("capacity must be positive")
+    ship(docs.sparkSession)
+    count = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("int").alias("tokens")
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":  # splits are read in another order than written
+        slim = docs.select("doc_id", count, F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("row"))
+    else:
+        slim = docs.select("doc_id", count, F.monotonically_increasing_id().alias("id"))
+        slim = slim.select("doc_id", "tokens", F.lpad(F.shiftright("id", 33).cast("string"), 10, "0").alias("part"), F.col("id").bitwiseAND((1 << 33) - 1).alias("row"))
+    slim = stored(slim)
+    parts = slim.groupBy("part").agg((F.max("row") + 1).alias("n"))  # a row for each file
+    parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    size = max(1, min(window_docs, -(-slim.count() // LEAST_WINDOWS)))
+    placed = slim.join(parts, "part").withColumn("nth", F.col("base") + F.col("row")).select("doc_id", "tokens", "nth", F.floor(F.col("nth") / size).alias("window"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("nth", ignore_index=True)
+        out = pack_shard(pdf["doc_id"].to_numpy(), pdf["tokens"].to_numpy(np.int64), capacity)
+        middle = out["row"].groupby(out["bin"]).mean().sort_values(kind="stable")
+        out["bin"] = out["bin"].map(pd.Series(np.arange(len(middle)), middle.index)) + (int(pdf["window"].iloc[0]) << 32)
+        out["doc_id"] = pdf["doc_id"].astype("Int64").iloc[out["row"]].array
+        return out[["doc_id", "piece", "tokens", "bin", "at"]]
+
+    return placed.groupBy("window").applyInPandas(run, SCHEMA)
