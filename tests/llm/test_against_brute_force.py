@@ -89,6 +89,11 @@ def test_substring_tells_adjacent_passages_of_different_documents_apart(spark):
     assert cut["text"] == ""
 
 
+def test_packing_search_exchanges_two_for_one_from_a_bin_of_many_pieces():
+    sizes = np.array([5] * 67 + [164, 7, 490, 4])
+    assert len(packing.improve(sizes, [list(range(68)), [68, 69], [70]], 500)) == 2
+
+
 def test_packing_keeps_the_schedule_of_sources(spark):
     r = random.Random(4)
     rows = [(i, "w " * r.randint(20, 200), "big" if i % 12 else "small") for i in range(2400)]

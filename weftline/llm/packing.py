@@ -69,8 +69,14 @@ def improve(sizes: np.ndarray, bins: list[list[int]], capacity: int) -> list[lis
                 continue
             singles = mine[sizes[mine] > 0]
             packs: list[tuple[int, ...]] = [(int(x),) for x in singles]
-            if len(singles) <= 64:
-                packs += [(int(x), int(y)) for i, x in enumerate(singles) for y in singles[i + 1 :]]
+            _, nth = np.unique(sizes[singles], return_index=True)
+            _, again = np.unique(np.delete(sizes[singles], nth), return_index=True)
+            two = np.sort(np.concatenate([singles[nth], np.delete(singles, nth)[again]]))  # the first two of each size make every sum
+            pairs: dict[int, tuple[int, ...]] = {}
+            for i, x in enumerate(two):
+                for y in two[i + 1 :]:
+                    pairs.setdefault(int(sizes[x] + sizes[y]), (int(x), int(y)))
+            packs += pairs.values()
             top, act = 0, None
             gap_b, fill_b = capacity - fill[into], fill[into]
             gap_o, fill_o, size_o = capacity - fill[home[others]], fill[home[others]], sizes[others]
