@@ -5,13 +5,14 @@
 cut depends only on bytes just before it: an insertion moves later chunks without changing them.  Chunks over
 ``MAX_CHUNK`` bytes are divided.  Cuts fall between characters.
 
-A chunk repeats if another document has one of the same 128-bit digest; its first occurrence is that of the
-smallest (doc_id, position).  Adjacent repeated chunks form a passage, reported from ``MIN_PASSAGE`` characters; where its
-chunks were first in different documents, each of these has a row for each stretch of it that it holds, without stretches under
-``MIN_PASSAGE`` characters inside another.
-
-Defined results: NULL and empty texts have no chunks; rows that repeat a ``doc_id`` are one document; a NULL
-``doc_id`` is ignored; other columns are not read.
+The unit that is deduplicated is the fewest whole chunks from each cut on that make ``MIN_PASSAGE`` characters, by a 96-bit digest
+of their bytes.  It repeats if a document of a smaller ``doc_id`` has one of the same digest; its first occurrence is that of the
+smallest (doc_id, position).  Units of one document that overlap or touch, and whose first occurrences lie in one document at the
+same distance, form one passage; so a passage is, character for character, a substring of its first document.
+
+Defined results: NULL and empty texts, and texts under ``MIN_PASSAGE`` characters, have no units; rows that repeat a ``doc_id`` are one
+document (its texts lie on top of each other); a NULL ``doc_id`` is ignored; a passage that several documents had before goes to the
+smallest of them, so spans with different first documents may overlap; other columns are not read.
 """
 
 from __future__ import annotations
@@ -66,55 +67,49 @@ def chunk_spans(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.nda
     return buffer, doc, starts, ends, chars[starts] - base, chars[ends] - base
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def units(texts: list[str], least: int = MIN_PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, character start, character end, 16-byte digests) of every unit, in order."""
+    buffer, doc, starts, ends, c0, c1 = chunk_spans(texts)
+    line = doc.astype(np.int64) << 33  # character ends in one ascending row
+    last = np.searchsorted(c1 + line, c0 + line + least)
+    whole = last < len(doc)
+    whole[whole] = doc[last[whole]] == doc[whole]
+    at, last = np.flatnonzero(whole), last[whole]
     digest = xxhash.xxh3_128_digest
-    for part, texts in textkit.chunks(batches):
-        buffer, doc, starts, ends, c0, c1 = chunk_spans(texts)
-        d = np.frombuffer(b"".join([digest(buffer[s:e]) for s, e in zip(starts.tolist(), ends.tolist())]), np.int64).reshape(-1, 2)
-        ids = part.column(0).take(pa.array(doc))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(c0.astype(np.int32)), pa.array(c1.astype(np.int32)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["doc_id", "c0", "c1", "d1", "d2"])
+    raw = b"".join([digest(buffer[s:e]) for s, e in zip(starts[at].tolist(), ends[last].tolist())])
+    return doc[at], c0[at], c1[last], np.frombuffer(raw, np.uint8).reshape(-1, 16)
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, c0, c1, d1, d2``: every chunk, as a character span, with its digest."""
+def unit_table(docs: DataFrame, least: int = MIN_PASSAGE) -> DataFrame:
+    """``doc_id, c0, c1, d1, d2``: every unit, as a character span, with its digest."""
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_chunk_batches, "doc_id long, c0 int, c1 int, d1 long, d2 long")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in textkit.chunks(batches):
+            doc, c0, c1, d = units(texts, least)
+            ids = part.column(0).cast(pa.int64()).take(pa.array(doc))
+            digests = [pa.array(d[:, :8].copy().view(np.int64).ravel()), pa.array(d[:, 8:12].copy().view(np.int32).ravel())]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(c0.astype(np.int32)), pa.array(c1.astype(np.int32)), *digests], ["doc_id", "c0", "c1", "d1", "d2"])
+
+    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(cut, "doc_id long, c0 int, c1 int, d1 long, d2 int")
 
 
 def repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
-    """``doc_id, char_start, char_end, first_doc_id``: a row for each passage, or stretch of one, that a smaller ``doc_id`` has already.
+    """``doc_id, char_start, char_end, first_doc_id, first_start``: a row for each passage that a smaller ``doc_id`` has already.
 
-    The digests are aggregated with map-side combining (a chunk in a million documents is one row from each
-    task); only digests of two documents or more are joined back, so unrepeated chunks end at that join.
+    The digests are aggregated with map-side combining (a unit in a million documents is one row from each
+    task); only digests of two documents or more are joined back, so unrepeated units end at that join.
     """
-    chunks = stored(chunk_table(docs))
-    shared = chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("m")).where("first_doc_id < m").drop("m")
-    again = chunks.join(shared, ["d1", "d2"]).where("doc_id <> first_doc_id").repartition("doc_id").distinct()
-    by = Window.partitionBy("doc_id").orderBy("c0", "c1")
-    runs = again.withColumn("new", F.when(F.col("c0") == F.lag("c1").over(by), 0).otherwise(1))
-    runs = runs.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
-    whole = Window.partitionBy("doc_id", "run")
-    runs = runs.withColumn("n", F.max("c1").over(whole) - F.min("c0").over(whole))
-    runs = stored(runs.withColumn("mixed", F.min("first_doc_id").over(whole) < F.max("first_doc_id").over(whole)))
-    runs_long = runs.where(F.col("n") >= min_passage)
-    ends = [F.min("c0").alias("char_start"), F.max("c1").alias("char_end")]
-    plain = runs_long.where("not mixed").groupBy("doc_id", "run").agg(*ends, F.first("first_doc_id").alias("first_doc_id"))
-
-    several = runs_long.where("mixed")
-    partners = several.select("doc_id", "run", F.col("first_doc_id").alias("partner")).distinct()
-    asked = several.join(partners, ["doc_id", "run"])
-    holds = runs.select(F.col("doc_id").alias("partner"), "d1", "d2").distinct()
-    held = asked.where("partner > first_doc_id").join(holds, ["partner", "d1", "d2"], "left_semi")  # a first document has no smaller one
-    held = held.select(*asked.columns).unionByName(asked.where("partner = first_doc_id"))
-    along = Window.partitionBy("doc_id", "run", "partner").orderBy("c0", "c1")
-    held = held.withColumn("new", F.when(F.col("c0") == F.lag("c1").over(along), 0).otherwise(1))
-    held = held.withColumn("part", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = held.groupBy("doc_id", "run", "partner", "part").agg(*ends)
-    wider = whole.orderBy("char_start", F.desc("char_end"), "partner").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.max("char_end").over(wider) >= F.col("char_end"), F.lit(False))
-    spans = spans.withColumn("inside", inside).where((F.col("char_end") - F.col("char_start") >= min_passage) | ~F.col("inside"))
-    columns = ["doc_id", "char_start", "char_end", "first_doc_id"]
-    return plain.select(*columns).unionByName(spans.withColumnRenamed("partner", "first_doc_id").select(*columns))
+    found = stored(unit_table(docs, min_passage))
+    first = F.min(F.struct("doc_id", "c0")).alias("first")
+    shared = found.groupBy("d1", "d2").agg(first, F.max("doc_id").alias("m")).where("first.doc_id < m").select("d1", "d2", F.col("first.doc_id").alias("first_doc_id"), F.col("first.c0").alias("f0"))
+    again = found.join(shared, ["d1", "d2"]).where("doc_id > first_doc_id").withColumn("off", F.col("c0") - F.col("f0"))
+    along = Window.partitionBy("doc_id", "first_doc_id", "off").orderBy("c0", "c1")
+    before = F.max("c1").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    runs = again.withColumn("new", F.when(F.col("c0") <= before, 0).otherwise(1))
+    runs = runs.withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    got = runs.groupBy("doc_id", "first_doc_id", "off", "run").agg(F.min("c0").alias("char_start"), F.max("c1").alias("char_end"))
+    return got.select("doc_id", "char_start", "char_end", "first_doc_id", (F.col("char_start") - F.col("off")).alias("first_start"))
 
 
 def without_repeats(docs: DataFrame, min_passage: int = MIN_PASSAGE) -> DataFrame:
