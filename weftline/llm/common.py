@@ -27,12 +27,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session; one of our own only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session; one of our own only in local mode, as in tests.
+
+    A cluster without that setting is refused: a folder of one machine would lose what its executors wrote.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         got = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = got.get() if got.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         own = tempfile.mkdtemp(prefix="weftline-")
         atexit.register(shutil.rmtree, own, True)
         folder = f"file://{own}"
