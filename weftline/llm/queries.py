@@ -25,7 +25,8 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.neighbours(read(spark, sf_dir, "embeddings"))
+    """Queries are the vectors whose id is divisible by 100, against all."""
+    return ann.neighbours(read(spark, sf_dir, "embeddings"), every=ann.EVERY)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,4 +112,13 @@ reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e O
 SELECT a AS doc_id, min(b) AS keep_id FROM reach GROUP BY a HAVING min(b) < a
 """
 
-SQL = {"op2_chat": chat.CHATML_SQL, "op3_mixing": MIXING_SQL, "op10_simhash": SIMHASH_SQL}
+# every query against every vector; at sf0.01 the relaxed search looks at all of them too
+NEIGHBOURS_SQL = """
+WITH d AS (
+  SELECT q.vec_id AS query_id, b.vec_id AS neighbour_id,
+    round(sqrt(greatest(2 - 2 * list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 0)), 6) AS distance
+  FROM embeddings q JOIN embeddings b ON q.vec_id % 100 = 0 AND b.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER AS rank, neighbour_id, distance FROM d QUALIFY rank <= 10
+"""
+
+SQL = {"op5_neighbours": NEIGHBOURS_SQL, "op2_chat": chat.CHATML_SQL, "op3_mixing": MIXING_SQL, "op10_simhash": SIMHASH_SQL}
