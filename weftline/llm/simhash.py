@@ -7,6 +7,12 @@ Two documents are near copies when
 * the smaller word count is at least ``RATIO`` of the larger.
 
 Groups are the connected components of that relation; the smallest ``doc_id`` of a group is its keeper.
+
+At 9 of 64 bits nearly every fingerprint lies within reach of each border, so vantage points on whole fingerprints prune little.  The
+fingerprint is therefore cut into ``BLOCKS`` blocks: a close pair differs in at most ``radius // BLOCKS`` bits (one) of some block.
+For each block, vantage-point trees over the block's values prune by that small radius, both between shards (a row also
+queries shards whose border it overlaps) and, over the distinct values, inside one; only rows of values that meet are compared whole.
+A shard of too many rows is divided by salts, every two of which meet in one task.
 All pairs that satisfy the rule count, none is capped; only the edges handed on are thinned to a spanning
 forest, which has the same components.
 
@@ -27,7 +33,9 @@ from . import textkit
 from .common import ship, stored
 
 RADIUS, PAIR_RADIUS, RATIO = 9, 30, 0.8
-SHARD, LEAF = 65536, 512
+SHARD, LEAF, BLOCKS = 65536, 512, 5
+PIVOT_SAMPLE, MAX_LEAVES = 1 << 18, 1024  # rows from which the routing trees are built; leaves of one tree (a block has 8192 values)
+_EDGES = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
 _PRINT = "doc_id long, n long, u long, b1 long, b2 long"
 
 
@@ -102,6 +110,33 @@ class Forest:
         label[:] = label[label]
 
 
+def block(u: np.ndarray, t: int) -> np.ndarray:
+    """Block ``t`` of each fingerprint."""
+    return (u >> np.uint64(_EDGES[t])) & np.uint64((1 << (_EDGES[t + 1] - _EDGES[t])) - 1)
+
+
+def close_values(v: np.ndarray, radius: int, leaf: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (i <= j) of all values that differ in at most ``radius`` bits, by a vantage-point tree over them."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    stack = [(np.arange(len(v)), np.arange(len(v)))]
+    while stack:
+        q, a = stack.pop()
+        if not len(q) or not len(a):
+            continue
+        d = distance(v[a], v[a[len(a) // 2]]).astype(np.int16)
+        inner = Search.cut(d) if len(a) > leaf else None
+        if inner is None:
+            i, j = np.nonzero(distance(v[q, None], v[a][None]) <= radius)
+            up = q[i] <= a[j]
+            left.append(q[i[up]])
+            right.append(a[j[up]])
+            continue
+        dq = distance(v[q], v[a[len(a) // 2]]).astype(np.int16)
+        for side in (inner, ~inner):
+            stack.append((q[(dq >= d[side].min() - radius) & (dq <= d[side].max() + radius)], a[side]))
+    return np.concatenate(left), np.concatenate(right)
+
+
 class Search:
     """Exact pair search in one shard with a vantage-point tree; ``prints`` has columns u, b1, b2, n."""
 
@@ -112,6 +147,10 @@ class Search:
         self.compared = 0
 
     def confirm(self, a: np.ndarray, b: np.ndarray) -> None:
+        two = a != b
+        if not two.any():
+            return
+        a, b = a[two], b[two]
         d = distance(self.b1[a], self.b1[b]) + distance(self.b2[a], self.b2[b])
         low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
         ok = (d <= self.pair_radius) & (low >= self.ratio * high)
@@ -158,6 +197,8 @@ class Search:
 
     def query(self, q: np.ndarray, a: np.ndarray) -> None:
         """Every close pair of a query row with a row of ``a``, by triangle bounds."""
+        if len(q) * len(a) <= LEAF * LEAF:
+            return self.cross(q, a)
         stack = [(q, a)]
         while stack:
             q, a = stack.pop()
@@ -177,6 +218,42 @@ class Search:
                 stack.append((q[(dq >= ds.min() - self.radius) & (dq <= ds.max() + self.radius)], a[side]))
 
 
+    def by_block(self, t: int, own: np.ndarray, others: np.ndarray) -> None:
+        """Every close pair of two own rows, or an own one and another, that is close in block ``t``."""
+        v = block(self.u, t)
+        values = np.unique(v[np.concatenate([own, others])])
+        at = np.searchsorted(values, v[own])
+        own, count = own[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(values))
+        start = np.cumsum(count) - count
+        i, j = close_values(values, self.radius // BLOCKS)
+        apart = i != j
+        for value, partners in _gathered(i, j, own, start, count):  # its own rows among them
+            self.query(own[start[value] : start[value] + count[value]], partners)
+        if len(others):
+            at = np.searchsorted(values, v[others])
+            others, asked = others[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(values))
+            ends = np.cumsum(asked)
+            both = np.concatenate([i, j[apart]]), np.concatenate([j, i[apart]])
+            keep = asked[both[0]] > 0
+            for value, partners in _gathered(both[0][keep], both[1][keep], own, start, count):
+                self.query(others[ends[value] - asked[value] : ends[value]], partners)
+
+
+def _gathered(i: np.ndarray, j: np.ndarray, rows: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(value, the rows of all values paired with it); ``rows`` lie value by value."""
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    n = count[j]
+    every = rows[np.repeat(start[j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    first = np.flatnonzero(np.diff(i, prepend=-1))
+    ends = np.append(np.cumsum(n)[first[1:] - 1], n.sum()) if len(first) else []
+    begin = 0
+    for value, end in zip(i[first].tolist(), list(ends)):
+        if end > begin:
+            yield value, every[begin:end]
+        begin = end
+
+
 def build_routes(sample: np.ndarray, leaves: int) -> list:
     """A tree of vantage points that cuts the sample into about ``leaves`` shards: nested [pivot, cut, inner, outer] or None."""
     if leaves <= 1 or len(sample) < 2:
@@ -213,20 +290,21 @@ def near_edges(prints: DataFrame, radius: int = RADIUS, pair_radius: int = PAIR_
     """``a, b`` (a > b): edges of a graph over distinct fingerprints whose components are those of all close pairs.
 
     ``prints`` is (rep, n, u, b1, b2), one row for each distinct fingerprint.  Word-count bands of ratio ``ratio``
-    come first (a row also visits the next band, which no valid pair can skip), then a routing tree for each band
-    that holds more than ``shard`` rows; its pivots come from a sample, which affects balance and never results.
+    come first (a row also visits the next band, which no valid pair can skip), then for each band that holds more than
+    ``shard`` rows a routing tree for each block; its pivots come from a sample, which affects balance and never results.
     """
     spark = prints.sparkSession
     base = float(-np.log(ratio))
     banded = prints.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(base) + F.lit(1e-9)).cast("int"))
-    sizes = {r["band"]: r["k"] for r in banded.groupBy("band").agg(F.count("*").alias("k")).collect()}
-    trees: dict[int, list] = {}
-    large = {b: -(-k // shard) for b, k in sizes.items() if k > shard}
+    sizes = {r["band"]: r["k"] for r in banded.groupBy("band").agg(F.count("*").alias("k")).collect()}  # a row for each band
+    trees: dict[int, list[list]] = {}
+    large = {b: min(-(-k // shard), MAX_LEAVES) for b, k in sizes.items() if k > shard}
     if large:
-        share = min(1.0, 64 * sum(large.values()) / sum(sizes[b] for b in large))
-        got = banded.where(F.col("band").isin(list(large))).select("band", "u").sample(share, 7).toPandas()
+        share = min(1.0, min(64 * sum(large.values()), PIVOT_SAMPLE) / sum(sizes[b] for b in large))
+        got = banded.where(F.col("band").isin(list(large))).select("band", "u").sample(share, 7).toArrow().to_pandas()
         for b, g in got.groupby("band"):
-            trees[b] = build_routes(np.sort(g["u"].to_numpy().view(np.uint64))[np.random.default_rng(7).permutation(len(g))], large[b])
+            u = g["u"].to_numpy().view(np.uint64)
+            trees[b] = [build_routes(np.sort(block(u, t))[np.random.default_rng(7).permutation(len(u))], large[b]) for t in range(BLOCKS)]
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -235,26 +313,39 @@ def near_edges(prints: DataFrame, radius: int = RADIUS, pair_radius: int = PAIR_
                 for band, rows in pdf.groupby(pdf["band"] + shift).indices.items():
                     if shift and band not in sizes:
                         continue
-                    out: list = []
-                    route(trees.get(band, []), u, radius, rows, np.full(len(rows), shift == 0), out)
-                    for name, at, own in out:
-                        part = pdf.iloc[at].drop(columns="band")
-                        yield part.assign(shard=f"{band}/{name}", own=own)
+                    mine = np.full(len(rows), shift == 0)
+                    if band not in trees:  # one shard, which goes through all blocks
+                        yield pdf.iloc[rows].drop(columns="band").assign(shard=str(band), own=mine)
+                        continue
+                    for t, tree in enumerate(trees[band]):
+                        out: list = []
+                        route(tree, block(u, t), radius // BLOCKS, rows, mine, out)
+                        for name, at, own in out:
+                            yield pdf.iloc[at].drop(columns="band").assign(shard=f"{band}/{t}/{name}", own=own)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep", kind="stable", ignore_index=True)
         s = Search(*(pdf[c].to_numpy().view(np.uint64) for c in ("u", "b1", "b2")), pdf["n"].to_numpy(), radius, pair_radius, ratio)
-        own = pdf["own"].to_numpy()
-        s.within(np.flatnonzero(own))
-        s.query(np.flatnonzero(~own), np.flatnonzero(own))
+        own, parts = pdf["own"].to_numpy(), pdf["shard"].iloc[0].split("/")
+        few = len(pdf) <= LEAF
+        if few:
+            s.within(np.flatnonzero(own))
+            s.query(np.flatnonzero(~own), np.flatnonzero(own))
+        for t in () if few else range(BLOCKS) if len(parts) == 1 else [int(parts[1])]:
+            s.by_block(t, np.flatnonzero(own), np.flatnonzero(~own))
         s.found.settle()
         rep, label = pdf["rep"].to_numpy(), s.found.label
         moved = label != np.arange(len(label))
         return pd.DataFrame({"a": rep[moved], "b": rep[label[moved]]})
 
     ship(spark)
-    routed = banded.mapInPandas(spread, "rep long, n long, u long, b1 long, b2 long, shard string, own boolean")
-    return routed.groupBy("shard").applyInPandas(search, "a long, b long").where("a > b").distinct()
+    routed = stored(banded.mapInPandas(spread, "rep long, n long, u long, b1 long, b2 long, shard string, own boolean"))
+    heavy = routed.groupBy("shard").agg(F.count("*").alias("k")).where(F.col("k") > 4 * shard).select("shard", F.ceil(F.col("k") / (2 * shard)).cast("int").alias("salts"))
+    salted = routed.join(heavy, "shard", "left").withColumn("salt", F.pmod(F.xxhash64("rep"), "salts").cast("int"))  # NULL where a shard is whole
+    others = F.filter(F.sequence(F.lit(0), F.col("salts") - 1), lambda x: x != F.col("salt"))
+    meets = F.when(F.col("salts").isNull(), F.array(F.lit(""))).otherwise(F.transform(others, lambda x: F.format_string("%d-%d", F.least(x, "salt"), F.greatest(x, "salt"))))
+    cells = salted.select("rep", "n", "u", "b1", "b2", "shard", "own", F.explode(meets).alias("cell"))
+    return cells.groupBy("shard", "cell").applyInPandas(search, "a long, b long").where("a > b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
