@@ -10,8 +10,12 @@ passed in is reachable.
 Templates are parsed into a syntax tree, whose constant parts are folded, and become nested Python closures; each worker
 compiles a template once.
 
-Defined results of :func:`render`: turns go by (turn, role, text), so ties and repeated rows have an order; NULL role
-and text read as ''; a NULL ``conv_id`` is one conversation; very long texts are kept whole; extra columns are not read.
+No data makes a template fail: a missing or NULL value is '' in text, 0 beside a number in ``+``, of length 0, in nothing and without
+order; ``+`` of a number and a text joins them as text; ``for`` over what is no list does nothing.
+
+Defined results of :func:`render`: turns go by (turn, role, text), a NULL turn first, so ties and repeated rows have an order; NULL
+role and text read as ''; a NULL ``conv_id`` is one conversation; very long texts are kept whole; an empty table gives no rows; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -33,14 +37,46 @@ _TAG = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#.*?#\}", re.S)
 _TOKEN = re.compile(r"\s*(?:(\d+)|'((?:[^'\\]|\\.)*)'|\"((?:[^\"\\]|\\.)*)\"|([A-Za-z_]\w*)|(==|!=|<=|>=|[-+~<>.()\[\]|,=]))", re.S)
 _WORDS = {"true": True, "false": False, "none": None, "True": True, "False": False, "None": None}
 _WHITE = " \t\r\n"
+
+
+def _text(x) -> str:
+    return "" if x is None else str(x)
+
+
+def _plus(a, b):
+    if isinstance(a, list) and isinstance(b, list):
+        return a + b
+    if all(x is None or isinstance(x, (int, float)) for x in (a, b)) and not a is b is None:
+        return (a or 0) + (b or 0)
+    return _text(a) + _text(b)
+
+
+def _compared(how: Callable) -> Callable:
+    """Numbers with numbers and texts with texts; nothing else is less or greater."""
+
+    def run(a, b) -> bool:
+        alike = (isinstance(a, str) and isinstance(b, str)) or (isinstance(a, (int, float)) and isinstance(b, (int, float)))
+        return alike and how(a, b)
+
+    return run
+
+
+def _inside(a, b) -> bool:
+    if isinstance(b, str):
+        return _text(a) in b
+    return isinstance(b, (list, dict)) and a in list(b)
+
+
 _FILTERS: dict[str, Callable] = {
-    "trim": lambda x: str(x).strip(_WHITE), "upper": lambda x: str(x).upper(), "lower": lambda x: str(x).lower(), "length": len,
-    "first": lambda x: x[0] if x else "", "last": lambda x: x[-1] if x else "", "default": lambda x, d: d if x is None or x == "" else x,
+    "trim": lambda x: _text(x).strip(_WHITE), "upper": lambda x: _text(x).upper(), "lower": lambda x: _text(x).lower(),
+    "length": lambda x: len(x) if isinstance(x, (str, list, dict)) else len(_text(x)),
+    "first": lambda x: (x[0] if x else "") if isinstance(x, (str, list)) else _text(x), "last": lambda x: (x[-1] if x else "") if isinstance(x, (str, list)) else _text(x),
+    "default": lambda x, d: d if x is None or x == "" else x,
 }
 _OPERATORS: dict[str, Callable] = {
-    "+": lambda a, b: a + b, "~": lambda a, b: _text(a) + _text(b), "==": lambda a, b: a == b, "!=": lambda a, b: a != b,
-    "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b,
-    "in": lambda a, b: a in b, "not in": lambda a, b: a not in b,
+    "+": _plus, "~": lambda a, b: _text(a) + _text(b), "==": lambda a, b: a == b, "!=": lambda a, b: a != b,
+    "<": _compared(lambda a, b: a < b), "<=": _compared(lambda a, b: a <= b), ">": _compared(lambda a, b: a > b), ">=": _compared(lambda a, b: a >= b),
+    "in": _inside, "not in": lambda a, b: not _inside(a, b),
 }
 
 
@@ -48,10 +84,6 @@ class TemplateError(ValueError):
     """The template is not in the language, or reaches for what it may not."""
 
 
-def _text(x) -> str:
-    return "" if x is None else str(x)
-
-
 def _field(value, key):
     if isinstance(value, dict):
         return value.get(key)
@@ -354,9 +386,8 @@ def _statement(node: tuple) -> Callable[[dict, Output], None]:
         name, items, run = rest[0], expression(rest[1]), _sequence(rest[2])
 
         def loop(scope: dict, out: Output) -> None:
-            values = items(scope) or []
-            if not isinstance(values, list):
-                raise TemplateError("for needs a list")
+            values = items(scope)
+            values = values if isinstance(values, list) else []
             for i, value in enumerate(values):
                 at = {"index": i + 1, "index0": i, "first": i == 0, "last": i + 1 == len(values)}
                 run(scope | {name: value, "loop": at}, out)
@@ -420,8 +451,8 @@ WITH m AS (
 p AS (
   SELECT *, '<|im_start|>' || role || chr(10) AS head, body || '<|im_end|>' AS tail FROM m),
 l AS (
-  SELECT *, coalesce(sum(length(head) + length(tail) + 1) OVER (PARTITION BY conv_id ORDER BY turn, role, raw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM p)
-SELECT conv_id, count(*) AS n_turns, string_agg(head || tail || chr(10), '' ORDER BY turn, role, raw) AS text,
-  coalesce(string_agg(CAST(base + length(head) AS BIGINT)::VARCHAR || '-' || CAST(base + length(head) + length(tail) AS BIGINT)::VARCHAR, ';' ORDER BY turn, role, raw) FILTER (WHERE role = 'assistant'), '') AS spans
+  SELECT *, coalesce(sum(length(head) + length(tail) + 1) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, raw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM p)
+SELECT conv_id, count(*) AS n_turns, string_agg(head || tail || chr(10), '' ORDER BY turn NULLS FIRST, role, raw) AS text,
+  coalesce(string_agg(CAST(base + length(head) AS BIGINT)::VARCHAR || '-' || CAST(base + length(head) + length(tail) AS BIGINT)::VARCHAR, ';' ORDER BY turn NULLS FIRST, role, raw) FILTER (WHERE role = 'assistant'), '') AS spans
 FROM l GROUP BY conv_id
 """
