@@ -126,12 +126,21 @@ def probability(net: Net, codes: np.ndarray, inside: np.ndarray) -> np.ndarray:
 
 
 def fit(findings: list[tuple[str, int, int, bool]], epochs: int = 8, recall: float = RECALL, seed: int = 5) -> Net:
-    """Train on (text, start, end, is secret): two thirds for weights, a third for calibration and threshold."""
-    codes, inside = encode([windows(t, s, e)[0] for t, s, e, _ in findings])
-    y = np.array([f[3] for f in findings], np.float32)
+    """Train on (text, start, end, is secret): two thirds for weights, a third for calibration and threshold.
+
+    Every window of a finding is trained on; as in a scan, its best window counts in calibration.
+    """
+    parts = [windows(t, s, e) for t, s, e, _ in findings]
+    codes, inside = encode([w for ws in parts for w in ws])
+    sizes = np.array([len(ws) for ws in parts])
+    begins = np.cumsum(sizes) - sizes
+    truth = np.array([f[3] for f in findings], np.float32)
+    y = np.repeat(truth, sizes)  # of each window
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(y))
-    held, train = order[::3], np.setdiff1d(order, order[::3])
+    order = rng.permutation(len(truth))
+    held, learnt = order[::3], np.zeros(len(truth), bool)
+    learnt[np.setdiff1d(order, held)] = True
+    train = np.flatnonzero(np.repeat(learnt, sizes))
     p = [rng.normal(0, 0.3, (98, EMBED)), rng.normal(0, 0.15, (5 * (EMBED + 1), FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.3, FILTERS + 1)]
     p = [x.astype(np.float32) for x in p]
     m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
@@ -161,7 +170,8 @@ def fit(findings: list[tuple[str, int, int, bool]], epochs: int = 8, recall: flo
                 v[j] = 0.999 * v[j] + 0.001 * g * g
                 p[j] -= 0.005 * (m[j] / (1 - 0.9**step)) / (np.sqrt(v[j] / (1 - 0.999**step)) + 1e-8)
     net = Net(*p, 0.0, 1.0, 0.5)
-    z, t = logits(net, codes[held], inside[held]), y[held]
+    best = np.maximum.reduceat(logits(net, codes, inside), begins)  # of each finding
+    z, t = best[held], truth[held]
     a, b = 1.0, 0.0  # Platt scaling by Newton steps, slightly regularised towards none
     for _ in range(30):
         q = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
@@ -171,8 +181,9 @@ def fit(findings: list[tuple[str, int, int, bool]], epochs: int = 8, recall: flo
         a, b = np.array([a, b]) - np.linalg.solve(hess, g)
     net = net._replace(scale=float(a), shift=float(b))
     secret = held[t > 0]
+    said = 1 / (1 + np.exp(-np.clip(net.scale * best + net.shift, -30, 30)))
     seen = np.array([any(s < findings[i][2] and e > findings[i][1] for s, e in candidates(findings[i][0])) for i in secret], bool)
-    good = np.sort(probability(net, codes[secret[seen]], inside[secret[seen]]))
+    good = np.sort(said[secret[seen]])
     spare = int(np.floor((1 - recall) * len(secret))) - int((~seen).sum())  # secrets that may still be lost
     return net._replace(threshold=float(min(0.5, good[max(0, spare)])))
 
