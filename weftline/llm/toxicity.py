@@ -6,12 +6,13 @@ labels under that noisy-or trains the weights.  A document is then rejected for
 the base score, which a noisy-or adds up, say nothing.  The threshold on that sentence's log-odds is calibrated on held-out
 labelled documents.
 
-Fitting reads at most ``MAX_LABELLED`` labelled documents (whole texts; those with the smallest hashed ids),
-scoring reads every document and every sentence.
+Fitting reads at most ``MAX_LABELLED`` labelled documents (whole texts; those with the smallest hashed ids, one row of each id),
+scoring reads every document and every sentence, of texts of any length.
 
 Defined results: NULL, empty and word-less texts score 0 and are kept; a NULL label is no label; where a
-``doc_id`` repeats in labels, toxic if any of its labels is; without a document of both classes nothing is
-rejected; other columns are carried along unread.
+``doc_id`` repeats in labels, toxic if any of its labels is, and where it repeats in documents, its smallest text is fitted on and each
+row is scored by its own; a score equal to the threshold is kept; without a document of both classes nothing is rejected; an empty
+table gives no rows; other columns are carried along unread.
 """
 
 from __future__ import annotations
@@ -150,8 +151,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     """Fit on the labelled documents with the ``max_labelled`` smallest hashed ids."""
     ids = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    got = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").toPandas()  # max_labelled ids at most
-    return fit(got["text"].tolist(), got["toxic"].to_numpy() > 0)
+    got = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
+    got = got.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").toArrow()  # max_labelled rows at most
+    return fit(got["text"].to_pylist(), got["toxic"].to_numpy() > 0)
 
 
 def offending(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
