@@ -13,7 +13,8 @@ Running token counts use two levels, so that a source holding most of the corpus
 (source, bucket of the hashed id), a running sum over buckets, and one within each bucket.
 
 Defined results: NULL texts count as empty and documents of no token as 1 token; a NULL source is the source '';
-NULL ids hash as ''; repeated rows are separate documents; extra columns are not read.
+rows that agree in id, source and tokens are separate documents, numbered and hashed one by one, and NULL ids count as '', so
+that neither fills a bucket; ties in position go by source, id, epoch; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -55,12 +56,13 @@ def invert(share: Column, knots=KNOTS) -> Column:
     return out
 
 
-def schedule(docs: DataFrame, budget: float | None = None, knots=KNOTS, raw=temperature, digits: int = DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
+def schedule(docs: DataFrame, budget: float | None = None, knots=KNOTS, raw=temperature, digits: int = DIGITS) -> DataFrame:
     """``doc_id, source, tokens, epoch, position`` in training order: a row each time that a document trains."""
     ship(docs.sparkSession)
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(F.col("copy") > 0, F.concat(F.lit(":"), F.col("copy").cast("string"))).otherwise("")))
     count = F.greatest(F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)), F.lit(1)).cast("long")
-    slim = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), count.alias("tokens"), key.alias("key"), *keep)
+    slim = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), count.alias("tokens")).groupBy("doc_id", "source", "tokens").agg(F.count("*").cast("int").alias("n"))
+    slim = slim.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("doc_id", "source", "tokens", key.alias("key"))
     slim = stored(slim.withColumn("bucket", F.substring("key", 1, digits)))
     sums = slim.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,7 +78,7 @@ def schedule(docs: DataFrame, budget: float | None = None, knots=KNOTS, raw=temp
     times = F.ceil((F.col("budget") * last - 0.5 - F.col("c")) / F.col("supply"))
     placed = placed.where(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), (times - 1).cast("int"))))
     position = F.round(invert((F.col("epoch") * F.col("supply") + F.col("c")) / F.col("budget"), knots), 9)
-    return placed.select("doc_id", "source", "tokens", "epoch", position.alias("position"), *keep).orderBy("position", "source", F.asc_nulls_last("doc_id"), "epoch")
+    return placed.select("doc_id", "source", "tokens", "epoch", position.alias("position")).orderBy("position", "source", F.asc_nulls_last("doc_id"), "epoch")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -5,12 +5,14 @@ named); the last piece of each is packed by best fit decreasing.  The search the
 one or two for one between underfull bins, always raising the sum of squared fills, until no bin can be emptied or
 the bin count reaches the lower bound ceil(tokens / capacity).
 
-Shards of about ``shard_docs`` documents (by hashed id) are packed independently: their number grows with the data,
-and each loses at most part of a bin.  In training order (:func:`pack_in_order`) shards are consecutive windows of the
-rows instead, and bins are numbered in that order.
+Shards of about ``shard_docs`` documents (by a hash of id, tokens, text and copy, so that neither a NULL nor a repeated id fills one
+shard) are packed independently: their number grows with the data, and each loses at most part of a bin.  In training order
+(:func:`pack_in_order`) shards are consecutive windows of the rows instead, bins are numbered in that order, and no bin
+holds two pieces of equal ``doc_id`` (:func:`separate`).
 
 Defined results: a row for every piece of every input row, repeated rows and NULL ids included; NULL and empty
-texts count 0 tokens and ride along in a bin; extra columns are not read.
+texts count 0 tokens and ride along in a bin; a text of more than ``capacity`` tokens fills bins of its own and packs the rest; among
+equal sizes the smaller id (first row) comes first; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -116,11 +118,56 @@ def improve(sizes: np.ndarray, bins: list[list[int]], capacity: int) -> list[lis
     return [b for b in bins if b]
 
 
-def pack_shard(ids: np.ndarray, tokens: np.ndarray, capacity: int) -> pd.DataFrame:
-    """``row, piece, tokens, bin, at`` of every piece; rows must come in a defined order."""
+def separate(sizes: np.ndarray, bins: list[list[int]], keys: list, capacity: int) -> list[list[int]]:
+    """Take apart items of equal key (None is no key) in a bin: into the fullest bin with room, by an exchange, or into a new bin."""
+    bins = [list(b) for b in bins]
+    held = [{keys[i] for i in b} for b in bins]
+    fill = [int(sizes[b].sum()) for b in bins]
+    for b in range(len(bins)):
+        seen: set = set()
+        for x in list(bins[b]):
+            key, size = keys[x], int(sizes[x])
+            if key is None or key not in seen:
+                seen.add(key)
+                continue
+            free = [c for c in range(len(bins)) if key not in held[c]]
+            fits = [c for c in free if fill[c] + size <= capacity]
+            back = None
+            if fits:
+                c = max(fits, key=lambda c: (fill[c], -c))
+            else:
+                swaps = [(int(sizes[y]), -c, -y) for c in free if c > b for y in bins[c] if sizes[y] <= size and fill[c] - sizes[y] + size <= capacity and keys[y] is not None and keys[y] not in held[b]]
+                if swaps:
+                    _, c, y = max(swaps)
+                    c, back = -c, -y
+                else:
+                    c = len(bins)
+                    bins.append([])
+                    held.append(set())
+                    fill.append(0)
+            bins[b].remove(x)
+            bins[c].append(x)
+            held[c].add(key)
+            fill[b] -= size
+            fill[c] += size
+            if back is not None:
+                bins[c].remove(back)
+                bins[b].append(back)
+                held[c].discard(keys[back])
+                held[b].add(keys[back])
+                seen.add(keys[back])
+                fill[c] -= int(sizes[back])
+                fill[b] += int(sizes[back])
+    return bins
+
+
+def pack_shard(tokens: np.ndarray, capacity: int, keys: list | None = None) -> pd.DataFrame:
+    """``row, piece, tokens, bin, at`` of every piece; rows must come in a defined order; equal ``keys`` share no bin."""
     whole = np.maximum(tokens - 1, 0) // capacity
     rest = tokens - whole * capacity
     bins = improve(rest, best_fit(rest, capacity), capacity)
+    if keys is not None:
+        bins = separate(rest, bins, keys, capacity)
     row = [np.repeat(np.arange(len(tokens)), whole)]
     piece = [np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)]
     count = [np.full(whole.sum(), capacity)]
@@ -143,11 +190,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
     ship(docs.sparkSession)
     count = F.col(tokens) if tokens else F.regexp_count("text", F.lit(r"\S+"))
     shards = max(1, -(-docs.count() // shard_docs))
-    slim = docs.select("doc_id", F.coalesce(count, F.lit(0)).cast("int").alias("tokens"), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"))
+    same = docs.select("doc_id", F.coalesce(count, F.lit(0)).cast("int").alias("tokens"), F.xxhash64("text").alias("h") if tokens is None else F.lit(0).alias("h"))
+    same = same.groupBy("doc_id", "tokens", "h").agg(F.count("*").cast("int").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    slim = same.select("doc_id", "tokens", F.pmod(F.xxhash64("doc_id", "tokens", "h", "copy"), F.lit(shards)).alias("shard"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "tokens"], ignore_index=True)
-        out = pack_shard(pdf["doc_id"].to_numpy(), pdf["tokens"].to_numpy(np.int64), capacity)
+        out = pack_shard(pdf["tokens"].to_numpy(np.int64), capacity)
         out["doc_id"] = pdf["doc_id"].astype("Int64").iloc[out["row"]].array
         out["bin"] += int(pdf["shard"].iloc[0]) << 32
         return out[["doc_id", "piece", "tokens", "bin", "at"]]
@@ -158,6 +207,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
 def pack_in_order(docs: DataFrame, capacity: int = CAPACITY, window_docs: int = WINDOW_DOCS) -> DataFrame:
     """As :func:`pack`, over windows of consecutive rows: a bin holds rows of one window, and bin numbers ascend with the order.
 
+    ``position`` is the number of the row in the order, ``epoch`` how many rows of its ``doc_id`` come before (0 for a NULL id).
     The order is that of the rows: where ``docs`` is read from files, by file name and row, as a sorted table is written.
     """
     if capacity < 1:
@@ -173,14 +223,17 @@ def pack_in_order(docs: DataFrame, capacity: int = CAPACITY, window_docs: int =
     parts = slim.groupBy("part").agg((F.max("row") + 1).alias("n"))  # a row for each file
     parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     size = max(1, min(window_docs, -(-slim.count() // LEAST_WINDOWS)))
-    placed = slim.join(parts, "part").withColumn("nth", F.col("base") + F.col("row")).select("doc_id", "tokens", "nth", F.floor(F.col("nth") / size).alias("window"))
+    placed = slim.join(parts, "part").select("doc_id", "tokens", (F.col("base") + F.col("row")).alias("nth"))
+    earlier = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("nth"))).orderBy("nth")
+    placed = placed.select("doc_id", "tokens", "nth", (F.row_number().over(earlier) - 1).alias("epoch"), F.floor(F.col("nth") / size).alias("window"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("nth", ignore_index=True)
-        out = pack_shard(pdf["doc_id"].to_numpy(), pdf["tokens"].to_numpy(np.int64), capacity)
+        ids = pdf["doc_id"].astype("Int64")
+        out = pack_shard(pdf["tokens"].to_numpy(np.int64), capacity, [None if pd.isna(i) else i for i in ids])
         middle = out["row"].groupby(out["bin"]).mean().sort_values(kind="stable")
         out["bin"] = out["bin"].map(pd.Series(np.arange(len(middle)), middle.index)) + (int(pdf["window"].iloc[0]) << 32)
-        out["doc_id"] = pdf["doc_id"].astype("Int64").iloc[out["row"]].array
-        return out[["doc_id", "piece", "tokens", "bin", "at"]]
+        out["doc_id"], out["position"], out["epoch"] = ids.iloc[out["row"]].array, pdf["nth"].iloc[out["row"]].array, pdf["epoch"].iloc[out["row"]].array
+        return out[["doc_id", "piece", "tokens", "bin", "at", "position", "epoch"]]
 
-    return placed.groupBy("window").applyInPandas(run, SCHEMA)
+    return placed.groupBy("window").applyInPandas(run, SCHEMA + ", position long, epoch int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, chat, lm, media, mixing, packing, secrets, simhash, substring, toxicity
-from .common import read
+from .common import read, stored
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.copies(media.media_table(read(spark, sf_dir, "embeddings")))
+    return media.copies(stored(media.media_table(read(spark, sf_dir, "embeddings"))))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +60,9 @@ QUERIES = {f.__name__: f for f in (op1_packing, op2_chat, op3_mixing, op4_lm_sco
 # the same two-level order, as one window over each source
 MIXING_SQL = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(source, '') AS source, greatest(coalesce(len(regexp_extract_all(text, '\S+')), 0), 1) AS tokens,
-    md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+  SELECT doc_id, source, tokens, md5(coalesce(doc_id::VARCHAR, '') || CASE WHEN copy > 0 THEN ':' || copy ELSE '' END) AS key FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, source, tokens) - 1 AS copy FROM (
+      SELECT doc_id, coalesce(source, '') AS source, greatest(coalesce(len(regexp_extract_all(text, '\S+')), 0), 1) AS tokens FROM documents))),
 c AS (
   SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS c FROM d),
 s AS (SELECT source, sum(tokens)::DOUBLE AS supply FROM d GROUP BY 1),
