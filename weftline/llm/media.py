@@ -1,15 +1,19 @@
 """Media columns: local image descriptors find cropped or edited copies.
 
-Corners (Harris) at several scales of a grey image get an orientation from the intensity centroid around them and a
-128-bit descriptor of binary tests turned to that orientation.  The tests are chosen (:func:`learned_tests`) to be balanced
-and little correlated over invented pictures, so that descriptors of unlike corners rarely meet.  Descriptors of two images are joined where they agree in
+Corners (Harris, above a response and greatest within ``NEAR`` pixels; all of them, so their number grows with the area) at several scales
+of a grey image get an orientation from the intensity centroid around them and a 128-bit descriptor of binary tests turned to that
+orientation.  The tests are chosen (:func:`learned_tests`) to be balanced and little correlated over invented pictures, so that
+descriptors of unlike corners rarely meet.  Descriptors of two images are joined where they agree in
 one of ``TABLES`` bit groups (Hamming tables) and differ in at most ``MAX_BITS`` bits.  Every match proposes a similarity
-transform (scale, turn, shift); images are copies if at least ``CONSENSUS`` matches agree with one of them.
+transform (scale, turn, shift); the best ones are fitted to their matches by least squares, and images are copies if at least
+``CONSENSUS`` matches then agree within a tolerance in proportion to the picture.
 
+Images of equal bytes are one class: its smallest id is described and compared for all, and each other is a row beside it.
 Images are 8-bit PNG (grey, RGB or with alpha, not interlaced) or binary PGM/PPM bytes.
 
-Defined results: NULL, empty or undecodable bytes, and images without corners, match nothing; a NULL id is ignored; rows
-that repeat an id are one image with the corners of all; no image matches itself; extra columns are not read.
+Defined results: NULL, empty or undecodable bytes match nothing, and images without corners only their equals; a NULL id is ignored;
+rows that repeat an id are one image with the corners of all; no image matches itself; of equally good transforms the first proposed
+counts; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,8 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ship, stored
 
-SCALES, CORNERS, PATCH = (1.0, 1.25, 1.6), 24, 11  # corners at each scale; half width of the descriptor patch
-TABLES, TABLE_BITS, MAX_BITS, CONSENSUS, SHIFT, TURN = 6, 21, 18, 6, 4.0, 0.25
+SCALES, NEAR, PATCH = (1.0, 1.25, 1.56, 1.95, 2.44), 2, 11  # half width of the descriptor patch
+TABLES, TABLE_BITS, MAX_BITS, CONSENSUS, SHIFT, TURN = 5, 25, 18, 6, 4.0, 0.25
+REFINED, TOLERANCE, BATCH = 8, 0.012, 24  # transforms fitted again; of the greater side; images described at once
 POOL, LEARN_FROM, BALANCE = 3000, 16, 0.15  # tests to choose from, pictures to choose them on
 
 
@@ -90,23 +95,24 @@ def decode(data: bytes | None) -> np.ndarray | None:
 
 
 def resize(img: np.ndarray, factor: float) -> np.ndarray:
-    """Bilinear resampling by 1/factor."""
-    h, w = max(1, int(img.shape[0] / factor)), max(1, int(img.shape[1] / factor))
-    y, x = np.clip((np.arange(h) + 0.5) * factor - 0.5, 0, img.shape[0] - 1), np.clip((np.arange(w) + 0.5) * factor - 0.5, 0, img.shape[1] - 1)
-    y0, x0 = np.minimum(y.astype(int), max(0, img.shape[0] - 2)), np.minimum(x.astype(int), max(0, img.shape[1] - 2))
-    y1, x1 = np.minimum(y0 + 1, img.shape[0] - 1), np.minimum(x0 + 1, img.shape[1] - 1)
-    fy, fx = (y - y0)[:, None], (x - x0)[None]
-    top = img[y0][:, x0] * (1 - fx) + img[y0][:, x1] * fx
-    return (top * (1 - fy) + (img[y1][:, x0] * (1 - fx) + img[y1][:, x1] * fx) * fy).astype(np.float32)
+    """Bilinear resampling by 1/factor of the last two axes."""
+    tall, wide = img.shape[-2:]
+    h, w = max(1, int(tall / factor)), max(1, int(wide / factor))
+    y, x = np.clip((np.arange(h) + 0.5) * factor - 0.5, 0, tall - 1), np.clip((np.arange(w) + 0.5) * factor - 0.5, 0, wide - 1)
+    y0, x0 = np.minimum(y.astype(int), max(0, tall - 2)), np.minimum(x.astype(int), max(0, wide - 2))
+    y1, x1 = np.minimum(y0 + 1, tall - 1), np.minimum(x0 + 1, wide - 1)
+    fy, fx = (y - y0)[:, None].astype(np.float32), (x - x0)[None].astype(np.float32)
+    rows = img[..., y0, :] * (1 - fy) + img[..., y1, :] * fy
+    return (rows[..., x0] * (1 - fx) + rows[..., x1] * fx).astype(np.float32)
 
 
 def _blur(a: np.ndarray, times: int = 1) -> np.ndarray:
     for _ in range(times):
-        for axis in (0, 1):
-            p = np.pad(a, [(2, 2) if i == axis else (0, 0) for i in (0, 1)], "edge")
+        for axis in (-2, -1):
+            p = np.pad(a, [(0, 0)] * (a.ndim - 2) + [(2, 2) if i == axis else (0, 0) for i in (-2, -1)], "edge")
             n = a.shape[axis]
-            s = [p[k : k + n] if axis == 0 else p[:, k : k + n] for k in range(5)]
-            a = (s[0] + s[4] + 4 * (s[1] + s[3]) + 6 * s[2]) / 16
+            s = [p[..., k : k + n, :] if axis == -2 else p[..., k : k + n] for k in range(5)]
+            a = (s[0] + s[4] + 4 * (s[1] + s[3]) + 6 * s[2]) / np.float32(16)
     return a
 
 
@@ -114,41 +120,38 @@ _DISC_Y, _DISC_X = np.mgrid[-7:8, -7:8]
 _DISC = (_DISC_Y**2 + _DISC_X**2 <= 49).astype(np.float32)
 
 
-def corners(img: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(scale, smoothed picture, x, y, angle) at each scale with corners."""
+def corners(images: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(scale, smoothed pictures, picture, x, y, angle) of the corners of pictures of one size, scale by scale."""
     for scale in SCALES:
-        a = _blur(resize(img, scale) if scale != 1 else img.astype(np.float32))
-        h, w = a.shape
+        a = _blur(resize(images, scale) if scale != 1 else images.astype(np.float32))
+        h, w = a.shape[1:]
         if min(h, w) < 2 * PATCH + 5:
             continue
-        gy, gx = np.gradient(a)
+        gy, gx = np.gradient(a, axis=(1, 2))
         xx, yy, xy = _blur(gx * gx, 2), _blur(gy * gy, 2), _blur(gx * gy, 2)
-        r = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        core = r[PATCH + 1 : h - PATCH - 1, PATCH + 1 : w - PATCH - 1]
-        top = np.ones(core.shape, bool)
-        for dy in (-1, 0, 1):
-            for dx in (-1, 0, 1):
-                if dy or dx:
-                    top &= core >= r[PATCH + 1 + dy : h - PATCH - 1 + dy, PATCH + 1 + dx : w - PATCH - 1 + dx]
-        ys, xs = np.nonzero(top & (core > 1.0))
+        r = xx * yy - xy * xy - np.float32(0.05) * (xx + yy) ** 2
+        edge = PATCH + 1
+        core, top = r[:, edge : h - edge, edge : w - edge], r
+        top = np.max([top[:, edge + k : h - edge + k] for k in range(-NEAR, NEAR + 1)], axis=0)
+        top = np.max([top[:, :, edge + k : w - edge + k] for k in range(-NEAR, NEAR + 1)], axis=0)
+        which, ys, xs = np.nonzero((core >= top) & (core > 1.0))
         if not len(ys):
             continue
-        best = np.lexsort((xs, ys, -core[ys, xs]))[:CORNERS]
-        ys, xs = ys[best] + PATCH + 1, xs[best] + PATCH + 1
-        patch = a[ys[:, None, None] + _DISC_Y, xs[:, None, None] + _DISC_X] * _DISC
+        ys, xs = ys + edge, xs + edge
+        patch = a[which[:, None, None], ys[:, None, None] + _DISC_Y, xs[:, None, None] + _DISC_X] * _DISC
         angle = np.arctan2((patch * _DISC_Y).sum((1, 2)), (patch * _DISC_X).sum((1, 2)))
-        yield scale, _blur(a), xs, ys, angle
+        yield scale, _blur(a), which, xs, ys, angle
 
 
-def tested(smooth: np.ndarray, xs: np.ndarray, ys: np.ndarray, angle: np.ndarray, tests: np.ndarray) -> np.ndarray:
+def tested(smooth: np.ndarray, which: np.ndarray, xs: np.ndarray, ys: np.ndarray, angle: np.ndarray, tests: np.ndarray) -> np.ndarray:
     """Outcome of every test (x1, y1, x2, y2 around the corner, turned by its angle) at every corner."""
     c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
     value = []
     for k in (0, 2):
         tx, ty = tests[:, k][None], tests[:, k + 1][None]
-        px = np.clip(np.rint(xs[:, None] + c * tx - s * ty).astype(int), 0, smooth.shape[1] - 1)
-        py = np.clip(np.rint(ys[:, None] + s * tx + c * ty).astype(int), 0, smooth.shape[0] - 1)
-        value.append(smooth[py, px])
+        px = np.clip(np.rint(xs[:, None] + c * tx - s * ty).astype(int), 0, smooth.shape[2] - 1)
+        py = np.clip(np.rint(ys[:, None] + s * tx + c * ty).astype(int), 0, smooth.shape[1] - 1)
+        value.append(smooth[which[:, None], py, px])
     return value[0] < value[1]
 
 
@@ -156,7 +159,7 @@ def tested(smooth: np.ndarray, xs: np.ndarray, ys: np.ndarray, angle: np.ndarray
 def learned_tests(n: int = 128) -> np.ndarray:
     """``n`` of ``POOL`` random tests, those within ``BALANCE`` of even, each as little correlated with those before it as leaves enough."""
     pool = np.clip(np.random.default_rng(0xB41F).normal(0, 5.5, (POOL, 4)), -9, 9)
-    x = np.concatenate([tested(*at, pool) for k in range(LEARN_FROM) for _, *at in corners(draw((1 << 40) + k))]).astype(np.float32)
+    x = np.concatenate([tested(*at, pool) for k in range(LEARN_FROM) for _, *at in corners(draw((1 << 40) + k)[None])]).astype(np.float32)
     z = x - x.mean(0)
     z /= np.sqrt((z**2).sum(0)) + 1e-9
     lean = np.abs(x.mean(0) - 0.5)
@@ -172,85 +175,124 @@ def learned_tests(n: int = 128) -> np.ndarray:
         limit += 0.05
 
 
-def describe(img: np.ndarray, tests: np.ndarray | None = None) -> pd.DataFrame:
-    """``x, y, scale, angle, hi, lo`` of every corner of an image."""
+def describe(images: list[np.ndarray], tests: np.ndarray | None = None) -> pd.DataFrame:
+    """``image`` (its number), ``place, hi, lo`` of every corner; a place is x and y in eighths of a pixel (24 bits each), scale (4) and angle (12)."""
     tests = learned_tests() if tests is None else tests
     out = []
-    for scale, smooth, xs, ys, angle in corners(img):
-        bits = np.packbits(tested(smooth, xs, ys, angle, tests), axis=1).view(">i8")
-        out.append(pd.DataFrame({"x": xs * scale, "y": ys * scale, "scale": scale, "angle": angle, "hi": bits[:, 0].astype(np.int64), "lo": bits[:, 1].astype(np.int64)}))
-    empty = pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("x", float), ("y", float), ("scale", float), ("angle", float), ("hi", np.int64), ("lo", np.int64))})
-    return pd.concat(out, ignore_index=True) if out else empty
-
-
-_POINT = "media_id long, x double, y double, scale double, angle double, hi long, lo long"
+    shapes: dict[tuple, list[int]] = {}
+    for i, img in enumerate(images):
+        shapes.setdefault(img.shape, []).append(i)
+    for shape, rows in shapes.items():
+        step = max(1, min(BATCH, (1 << 22) // max(1, shape[0] * shape[1])))
+        for k in range(0, len(rows), step):
+            mine = np.array(rows[k : k + step])
+            for scale, smooth, which, xs, ys, angle in corners(np.stack([images[i] for i in mine])):
+                bits = np.packbits(tested(smooth, which, xs, ys, angle, tests), axis=1).view(">i8")
+                x, y = (np.rint(8 * ((v + 0.5) * scale - 0.5)).clip(0).astype(np.int64) for v in (xs, ys))
+                turn = np.rint((angle + np.pi) * (4095 / (2 * np.pi))).astype(np.int64)
+                place = x << 40 | y << 16 | SCALES.index(scale) << 12 | turn
+                out.append(pd.DataFrame({"image": mine[which], "place": place, "hi": bits[:, 0].astype(np.int64), "lo": bits[:, 1].astype(np.int64)}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("image", "place", "hi", "lo")})
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """x, y, scale, angle of places."""
+    p = np.asarray(place, np.int64)
+    return (p >> 40) / 8, ((p >> 16) & 0xFFFFFF) / 8, np.array(SCALES)[(p >> 12) & 15], (p & 4095) * (2 * np.pi / 4095) - np.pi
 
 
 def descriptors(media: DataFrame, id_column: str = "media_id", column: str = "image") -> DataFrame:
-    """A row for each corner of each image."""
+    """``media_id, place, hi, lo``: a row for each corner of each image."""
     ship(media.sparkSession)
     tests = learned_tests()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for i in range(0, len(pdf), 256):
-                parts = []
-                for key, data in zip(pdf["media_id"].iloc[i : i + 256], pdf["image"].iloc[i : i + 256]):
-                    img = decode(data)
-                    if img is not None:
-                        parts.append(describe(img, tests).assign(media_id=key))
-                if parts:
-                    yield pd.concat(parts)[["media_id", "x", "y", "scale", "angle", "hi", "lo"]]
+                some = [(key, img) for key, img in zip(pdf["media_id"].iloc[i : i + 256], map(decode, pdf["image"].iloc[i : i + 256])) if img is not None]
+                if some:
+                    found = describe([img for _, img in some], tests)
+                    yield found.assign(media_id=np.array([k for k, _ in some])[found["image"].to_numpy()])[["media_id", "place", "hi", "lo"]]
 
     slim = media.select(F.col(id_column).cast("long").alias("media_id"), F.col(column).alias("image")).where("media_id is not null and image is not null")
-    return slim.mapInPandas(run, _POINT)
-
-
-def consensus(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The transform a -> b on which most matches of one pair of images agree."""
-    turn = pdf["angle_b"].to_numpy() - pdf["angle_a"].to_numpy()
-    grow = np.log(pdf["scale_b"].to_numpy() / pdf["scale_a"].to_numpy())
-    c, s, k = np.cos(turn), np.sin(turn), np.exp(grow)
-    ax, ay, bx, by = (pdf[n].to_numpy() for n in ("x_a", "y_a", "x_b", "y_b"))
-    dx, dy = bx - k * (c * ax - s * ay), by - k * (s * ax + c * ay)
-    best, who = 0, None
-    for i in range(0, len(pdf), 256):  # every match proposes
-        j = slice(i, i + 256)
-        far = np.hypot(k[j, None] * (c[j, None] * ax - s[j, None] * ay) + dx[j, None] - bx, k[j, None] * (s[j, None] * ax + c[j, None] * ay) + dy[j, None] - by)
-        swing = np.abs((turn[j, None] - turn + np.pi) % (2 * np.pi) - np.pi)
-        ok = (far <= SHIFT) & (swing <= TURN) & (np.abs(grow[j, None] - grow) <= 0.5)
-        # matches of one corner count once
-        votes = np.array([len({(round(x), round(y)) for x, y in zip(ax[row], ay[row])}) for row in ok])
-        if votes.max() > best:
-            best, who = int(votes.max()), i + int(votes.argmax())
-    head = pdf.iloc[0]
-    if best < CONSENSUS:
-        return pd.DataFrame(columns=["media_a", "media_b", "inliers", "scale", "turn", "dx", "dy"])
-    return pd.DataFrame({"media_a": [head["media_a"]], "media_b": [head["media_b"]], "inliers": [best], "scale": [float(k[who])], "turn": [float((turn[who] + np.pi) % (2 * np.pi) - np.pi)], "dx": [float(dx[who])], "dy": [float(dy[who])]})
+    return slim.mapInPandas(run, "media_id long, place long, hi long, lo long")
+
+
+def consensus(a: np.ndarray, b: np.ndarray) -> tuple[int, float, float, float, float] | None:
+    """(matches that agree, scale, turn, dx, dy) of the transform a -> b on which most matches of one pair of images agree."""
+    (ax, ay, sa, ta), (bx, by, sb, tb) = unpacked(a), unpacked(b)
+    turn, grow = tb - ta, np.log(sb / sa)
+    p, q = ax + 1j * ay, bx + 1j * by
+    limit = np.maximum(SHIFT, TOLERANCE * max(np.ptp(bx), np.ptp(by)))
+    corner = np.unique(np.stack([np.rint(ax), np.rint(ay)], 1), axis=0, return_inverse=True)[1].ravel()  # matches of one corner count once
+
+    def agree(m: np.ndarray, shift: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
+        far = np.abs(m[:, None] * p + shift[:, None] - q)
+        swing = np.abs((np.angle(m)[:, None] - turn + np.pi) % (2 * np.pi) - np.pi)
+        ok = (far <= slack) & (swing <= TURN) & (np.abs(np.log(np.abs(m))[:, None] - grow) <= 0.6)
+        if len(m) == 1:
+            return ok, np.array([len(np.unique(corner[ok[0]]))])
+        return ok, ok.sum(1)
+
+    m = np.exp(grow + 1j * turn)
+    votes = np.concatenate([agree(m[i : i + 256], (q - m * p)[i : i + 256], 3 * limit)[1] for i in range(0, len(p), 256)])
+    best = None
+    for i in np.argsort(-votes, kind="stable")[:REFINED]:  # a coarse proposal gathers loosely, then is fitted
+        scale, shift = m[i], q[i] - m[i] * p[i]
+        for slack in (3 * limit, 1.5 * limit, limit):
+            ok, _ = agree(np.array([scale]), np.array([shift]), slack)
+            inside = np.flatnonzero(ok[0])
+            if len(inside) < 2 or np.ptp(corner[inside]) == 0:
+                break
+            dp, dq = p[inside] - p[inside].mean(), q[inside] - q[inside].mean()
+            scale = (dq * dp.conj()).sum() / (np.abs(dp) ** 2).sum()
+            if scale == 0:
+                break
+            shift = q[inside].mean() - scale * p[inside].mean()
+        else:
+            n = int(agree(np.array([scale]), np.array([shift]), limit)[1][0])
+            if best is None or n > best[0]:
+                best = (n, float(np.abs(scale)), float(np.angle(scale)), float(shift.real), float(shift.imag))
+    return best if best and best[0] >= CONSENSUS else None
+
+
+_PAIR = "media_a long, media_b long, inliers int, scale double, turn double, dx double, dy double"
 
 
 def copies(media: DataFrame, id_column: str = "media_id", column: str = "image") -> DataFrame:
-    """``media_a, media_b, inliers, scale, turn, dx, dy`` (a < b): a row for each pair of images that show the same.
+    """``media_a, media_b, inliers, scale, turn, dx, dy`` (a < b): a row for each pair of different images that show the same, and one of
+    NULL ``inliers`` for each image beside the smallest id of equal bytes, whose pairs hold for it too.
 
-    Table keys join descriptor to descriptor; pairs meet again in several tables, so matches are made distinct
-    before image pairs of fewer than ``CONSENSUS`` matches are dropped and the rest checked geometrically.
+    Table keys join descriptor to descriptor, with places packed along, so nothing is joined back; pairs meet again in several
+    tables, so matches are made distinct before image pairs of fewer than ``CONSENSUS`` matches are dropped and the rest checked.
     """
-    points = stored(descriptors(media, id_column, column).withColumn("p", F.monotonically_increasing_id()))
+    slim = media.select(F.col(id_column).cast("long").alias("media_id"), F.col(column).alias("image")).where("media_id is not null and image is not null")
+    ids = slim.select("media_id", F.sha2("image", 256).alias("digest"), (F.length("image") > 0).alias("some"))
+    first = stored(ids.where("some").groupBy("digest").agg(F.min("media_id").alias("first"), F.max("media_id").alias("last")))
+    members = ids.join(first.where("first < last").drop("last"), "digest").where("media_id <> first").select(F.col("first").alias("media_a"), F.col("media_id").alias("media_b")).distinct()
+    one = slim.join(first.select(F.col("first").alias("media_id")).distinct(), "media_id", "left_semi")
+    points = stored(descriptors(one))
     bits = []
     for t in range(TABLES):
-        first = t * TABLE_BITS
-        word, at = ("hi", first) if first + TABLE_BITS <= 64 else ("lo", first - 64 if first >= 64 else 0)
-        bits.append(F.shiftrightunsigned(F.shiftleft(word, at), 64 - TABLE_BITS) + F.lit(t << TABLE_BITS))
-    keyed = points.select("media_id", "p", "hi", "lo", F.explode(F.array(*bits)).alias("key"))
+        at = t * TABLE_BITS
+        high, low = F.shiftleft("hi", at) if at < 64 else F.shiftleft("lo", at - 64), F.shiftrightunsigned("lo", 64 - at) if 0 < at < 64 else F.lit(0).cast("long")
+        bits.append(F.shiftrightunsigned(high.bitwiseOR(low), 64 - TABLE_BITS) + F.lit(t << TABLE_BITS))
+    keyed = points.distinct().select("media_id", "place", "hi", "lo", F.explode(F.array(*bits)).alias("key"))
     a, b = keyed.alias("a"), keyed.alias("b")
     far = F.bit_count(F.col("a.hi").bitwiseXOR(F.col("b.hi"))) + F.bit_count(F.col("a.lo").bitwiseXOR(F.col("b.lo")))
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.media_id") < F.col("b.media_id")) & (far <= MAX_BITS))
-    met = met.select(F.col("a.media_id").alias("media_a"), F.col("b.media_id").alias("media_b"), F.col("a.p").alias("pa"), F.col("b.p").alias("pb")).distinct()
-    enough = met.groupBy("media_a", "media_b").agg(F.collect_list(F.struct("pa", "pb")).alias("ps")).where(F.size("ps") >= CONSENSUS)
-    pairs = enough.select("media_a", "media_b", F.explode("ps").alias("e")).select("media_a", "media_b", "e.pa", "e.pb")
-    side = lambda s: points.select(F.col("p").alias(f"p{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("x", "y", "scale", "angle")])
-    whole = pairs.join(side("a"), "pa").join(side("b"), "pb").drop("pa", "pb")
-    return whole.groupBy("media_a", "media_b").applyInPandas(consensus, "media_a long, media_b long, inliers int, scale double, turn double, dx double, dy double")
+    met = met.groupBy(F.col("a.media_id").alias("media_a"), F.col("b.media_id").alias("media_b")).agg(F.collect_set(F.struct(F.col("a.place").alias("a"), F.col("b.place").alias("b"))).alias("ps"))
+    enough = met.where(F.size("ps") >= CONSENSUS).select("media_a", "media_b", F.array_sort("ps").alias("ps"))
+    enough = enough.select("media_a", "media_b", F.col("ps.a").alias("a"), F.col("ps.b").alias("b"))
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            found = [(x, y, consensus(p, q)) for x, y, p, q in zip(pdf["media_a"], pdf["media_b"], pdf["a"], pdf["b"])]
+            yield pd.DataFrame([(x, y, *f) for x, y, f in found if f], columns=["media_a", "media_b", "inliers", "scale", "turn", "dx", "dy"])
+
+    pairs = enough.mapInPandas(check, _PAIR)
+    same = members.select("media_a", "media_b", F.lit(None).cast("int").alias("inliers"), F.lit(1.0).alias("scale"), *[F.lit(0.0).alias(c) for c in ("turn", "dx", "dy")])
+    return pairs.unionByName(same)
 
 
 def draw(seed: int, size: int = 96) -> np.ndarray:
