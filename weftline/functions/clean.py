@@ -359,6 +359,22 @@ def content_hash(columns: Iterable[str]) -> Column:
     return F.md5(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
 
 
+def nearness(value: Column, least: Column, most: Column) -> Column:
+    """1 at ``least``, 0 at ``most``, linear; NULL if both are equal."""
+    return 1 - F.try_divide(value - least, most - least)
+
+
+def listed(values: Column, between: str = " AND ") -> Column:
+    """Aggregate: the distinct values in order, joined."""
+    return F.array_join(F.array_sort(F.collect_set(values)), between)
+
+
+def distinct_with_null(values: Column) -> Column:
+    """Aggregate: distinct values in order, NULL (last) among them if it occurs."""
+    some = F.sort_array(F.collect_set(values))
+    return F.when(F.count_if(values.isNull()) > 0, F.array_append(some, F.lit(None))).otherwise(some)
+
+
 def dot(a: Column, b: Column) -> Column:
     """Inner product of two vectors, summed as doubles."""
     return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

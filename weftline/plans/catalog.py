@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cleaning, indexing, matching, serving  # noqa: F401  (they register themselves)
+from . import cleaning, indexing, matching, registry, reporting, serving, values  # noqa: F401  (they register themselves)
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
