@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.functions import clean
@@ -11,6 +14,7 @@ from weftline.functions import clean
 WEIGHTS = {"grant_id": 100, "funder_opportunity_id": 10, "person_id": 5, "funder_id": 1, "affiliation_id": 1, "person_name": 5, "funder_name": 1, "affiliation_name": 1}
 NAMES = ("person_name", "funder_name", "affiliation_name")
 K1, B = 1.2, 0.75
+BLOCK = 10_000  # query vectors shipped at once
 
 
 def top_k(df: DataFrame, by: list[str], k: int, *order: Column, rank: str | None = None) -> DataFrame:
@@ -27,15 +31,32 @@ def entities(df: DataFrame, key: list[str], columns: dict[str, str]) -> DataFram
     return rows.where("entity is not null")
 
 
+def _met(plans: DataFrame, works: DataFrame) -> DataFrame:
+    """``plan_id, work_id, entity_type, entity`` where entities agree and the work is published in the window."""
+    inside = (F.col("w.entity_type") == F.col("p.entity_type")) & (F.col("w.entity") == F.col("p.entity")) & F.col("w.publication_date").between(F.col("p.project_start"), F.col("p.project_end"))
+    return plans.alias("p").join(works.alias("w"), inside).select("p.plan_id", "w.work_id", "p.entity_type", "p.entity")
+
+
 def entity_matches(plans: DataFrame, works: DataFrame, weights: dict[str, int] = WEIGHTS, threshold: int = 3, k: int = 100) -> DataFrame:
     """``plan_id, work_id``, a count for each entity type, ``weighted_count`` and ``match_rank``.
 
     ``plans``: plan_id, project_start, project_end, entity_type, entity; ``works``: work_id, publication_date, entity_type,
     entity.  Entities must agree and the work must be published in the window.  Id matches count each repetition, name
-    matches once.  The join's keys are (type, entity), with the window as its residual; AQE splits skewed entities.
+    matches once.
+
+    Types of a weight below the threshold have few, hot values.  A plan whose values of such types can't reach the threshold together
+    meets works by its other types alone, and the weak ones are counted on those pairs only; the result is the same.
     """
-    inside = (F.col("w.entity_type") == F.col("p.entity_type")) & (F.col("w.entity") == F.col("p.entity")) & F.col("w.publication_date").between(F.col("p.project_start"), F.col("p.project_end"))
-    met = plans.alias("p").join(works.alias("w"), inside).select("p.plan_id", "w.work_id", "p.entity_type", "p.entity")
+    weak = F.col("entity_type").isin(*[t for t, w in weights.items() if w < threshold])
+    weight = F.try_element_at(F.create_map(*[F.lit(x) for tw in weights.items() for x in tw]), F.col("entity_type"))
+    repeats = works.where(weak & ~F.col("entity_type").isin(*NAMES)).groupBy("work_id", "entity_type", "entity").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(1)).alias("most"))
+    most = plans.where(weak).crossJoin(F.broadcast(repeats))  # one row
+    enough = most.groupBy("plan_id").agg(F.sum(F.when(F.col("entity_type").isin(*NAMES), weight).otherwise(weight * F.col("most"))).alias("bound")).where(F.col("bound") >= threshold).select("plan_id")
+    able, others = plans.join(enough, "plan_id", "left_semi"), plans.join(enough, "plan_id", "left_anti")
+    strong = _met(others.where(~weak), works.where(~weak))
+    pairs = strong.select("plan_id", "work_id").distinct().join(others.where(weak).select("plan_id", "entity_type", "entity"), "plan_id")
+    more = pairs.join(works.where(weak).select("work_id", "entity_type", "entity"), ["work_id", "entity_type", "entity"]).select("plan_id", "work_id", "entity_type", "entity")
+    met = _met(able, works).unionByName(strong).unionByName(more)
     counts = met.groupBy("plan_id", "work_id", "entity_type", "entity").agg(F.count("*").alias("n"))
     counts = counts.withColumn("n", F.when(F.col("entity_type").isin(*NAMES), F.lit(1)).otherwise(F.col("n")).cast("long"))
     each = [F.sum(F.when(F.col("entity_type") == t, F.col("n")).otherwise(0)).alias(f"{t}_count") for t in weights]
@@ -51,25 +72,67 @@ def matches_by_plan(pairs: DataFrame) -> DataFrame:
 
 
 def reranked(pairs: DataFrame, plan_vectors: DataFrame, work_vectors: DataFrame, weight: float = 5.0, similarity: bool = False) -> DataFrame:
-    """Adds ``distance`` (cosine) and ``vector_weighted``; only the candidate pairs are compared.
+    """Adds ``distance`` (cosine) and ``vector_weighted``; only the candidate pairs are compared, and lengths taken once a vector.
 
     By default the distance itself is added, ``weight`` times; ``similarity=True`` adds 1 - distance.
     """
-    p = plan_vectors.select("plan_id", F.col("vector").alias("__p"))
-    w = work_vectors.select("work_id", F.col("vector").alias("__w"))
-    out = pairs.join(p, "plan_id", "left").join(w, "work_id", "left").withColumn("distance", clean.cosine_distance(F.col("__p"), F.col("__w"))).drop("__p", "__w")
+    square = clean.dot(F.col("vector"), F.col("vector"))
+    p = plan_vectors.select("plan_id", F.col("vector").alias("__p"), square.alias("__pp"))
+    w = work_vectors.select("work_id", F.col("vector").alias("__w"), square.alias("__ww"))
+    far = 1 - F.try_divide(clean.dot(F.col("__p"), F.col("__w")), F.sqrt(F.col("__pp") * F.col("__ww")))
+    out = pairs.join(p, "plan_id", "left").join(w, "work_id", "left").withColumn("distance", far).drop("__p", "__w", "__pp", "__ww")
     gain = (1 - F.col("distance")) if similarity else F.col("distance")
     return out.withColumn("vector_weighted", F.col("weighted_count") + F.coalesce(gain, F.lit(0.0)) * weight)
 
 
-def vector_search(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
-    """``query_id, base_id, distance, rank``: exact nearest rows of ``base`` (id, vector) for few ``queries`` (id, vector)."""
-    square = lambda c: clean.dot(F.col(c), F.col(c))  # noqa: E731  (once a row, not once a pair)
-    q = queries.select(F.col("id").alias("query_id"), F.col("vector").alias("__q"), square("vector").alias("__qq"))
-    b = base.select(F.col("id").alias("base_id"), F.col("vector").alias("__b"), square("vector").alias("__bb"))
-    cosine = F.try_divide(clean.dot(F.col("__q"), F.col("__b")), F.sqrt(F.col("__qq") * F.col("__bb")))
-    far = q.crossJoin(b).select("query_id", "base_id", F.round(1 - cosine, 6).alias("distance")).where("distance is not null")
-    return top_k(far, ["query_id"], k, F.col("distance"), F.col("base_id"), rank="rank")
+def vector_search(queries: DataFrame, base: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """``query_id, base_id, distance, rank``: exact nearest rows of ``base`` (id, vector) for stated ``queries`` (id, vector).
+
+    Queries go through ``base`` in blocks of at most about ``block`` rows, each shipped to every batch of vectors, which keeps its ``k``
+    best; vectors of length 0 or of another size than the queries' have no distance.
+    """
+    blocks = -(-queries.count() // block)
+    some = lambda d: d.where(F.col("id").isNotNull() & F.forall("vector", lambda x: x.isNotNull())).select("id", F.col("vector").cast("array<double>"))
+    kind, parts = base.schema["id"].dataType.simpleString(), []
+    for n in range(blocks):
+        mine = some(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n)).toArrow()  # block rows, about
+        for size in sorted({len(v) for v in mine["vector"].to_pylist()} - {0}):
+            rows = [i for i, v in enumerate(mine["vector"]) if len(v) == size]
+            asked = mine.take(rows)
+            parts.append(some(base).where(F.size("vector") == size).mapInArrow(_nearest(asked, k), f"query_id {queries.schema['id'].dataType.simpleString()}, base_id {kind}, distance double"))
+    if not parts:
+        parts = [base.crossJoin(queries.select(F.col("id").alias("query_id")).limit(0)).select("query_id", F.col("id").alias("base_id"), F.lit(0.0).alias("distance"))]
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return top_k(found, ["query_id"], k, F.col("distance"), F.col("base_id"), rank="rank")
+
+
+def _nearest(asked: pa.Table, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For batches of vectors, the ``k`` nearest of each query; ties by id."""
+
+    def unit(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+        x = np.array(column.to_pylist(), np.float64)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    q = unit(asked["vector"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            order = pc.sort_indices(batch.column(0))
+            ids, x = batch.column(0).take(order), unit(batch.column(1).take(order))
+            for i in range(0, len(q), 1024):
+                far = np.round(1 - q[i : i + 1024] @ x.T, 6) + 0.0  # no negative zero
+                best = np.argsort(far, axis=1, kind="stable")[:, :k]  # NaN last
+                row, at = np.repeat(np.arange(len(far)), best.shape[1]), best.ravel()
+                real = ~np.isnan(far[row, at])
+                row, at = row[real], at[real]
+                yield pa.RecordBatch.from_arrays([asked["id"].combine_chunks().take(pa.array(i + row)), ids.take(pa.array(at)), pa.array(far[row, at])], ["query_id", "base_id", "distance"])
+
+    return run
 
 
 def to_embed(contents: DataFrame, embedded: DataFrame, key: str, batch: int) -> DataFrame:
@@ -86,17 +149,22 @@ def tokens(c: Column) -> Column:
 
 
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf, length`` of every distinct word."""
-    rows = docs.select(key, F.explode(tokens(F.col(text))).alias("term"))
-    counts = rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
-    return counts.withColumn("length", F.sum("tf").over(Window.partitionBy(key)))
+    """``key, term, tf, length`` of every distinct word, and a row of the term '' for each document with words."""
+    words = docs.select(key, tokens(F.col(text)).alias("ws")).where(F.size("ws") > 0)
+    rows = words.select(key, F.size("ws").alias("length"), F.explode(F.array_append("ws", F.lit(""))).alias("term")).where("term is not null")
+    return rows.groupBy(key, "term").agg(F.count("*").alias("tf"), F.max("length").alias("length"))
 
 
 def more_like_this(queries: DataFrame, docs: DataFrame, query_key: str, doc_key: str, text: str, terms: int = 25, min_tf: int = 1, min_df: int = 5) -> DataFrame:
-    """``query_key, doc_key, score``: BM25 of each document for the ``terms`` most telling words (tf * idf) of each query text."""
+    """``query_key, doc_key, score``: BM25 of each document for the ``terms`` most telling words (tf * idf) of each query text.
+
+    Document counts, mean length and matches all come from one shuffle of postings: each reads the same columns of it, so that Spark
+    can reuse the exchange.
+    """
     index = postings(docs, doc_key, text)
-    sizes = docs.select(doc_key, F.size(tokens(F.col(text))).alias("n")).where("n > 0").agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
-    df = index.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    real = (F.col("tf") > 0) & (F.col("length") > 0)  # always; keeps the columns in every branch
+    sizes = index.agg(F.count_if(real & (F.col("term") == "")).alias("docs"), F.avg(F.when(real & (F.col("term") == ""), F.col("length"))).alias("mean"))
+    df = index.groupBy("term").agg(F.count_if(real).alias("df")).where(F.col("df") >= min_df)
     idf = df.crossJoin(F.broadcast(sizes)).select("term", "mean", F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))  # sizes is one row
     asked = queries.select(query_key, F.explode(tokens(F.col(text))).alias("term")).groupBy(query_key, "term").agg(F.count("*").alias("q")).where(F.col("q") >= min_tf)
     asked = top_k(asked.join(idf, "term"), [query_key], terms, F.desc(F.col("q") * F.col("idf")), F.col("term")).select(query_key, "term", "idf", "mean")

@@ -45,22 +45,23 @@ def topk_matches(t):
 _COS = "round(list_cosine_distance({a}::DOUBLE[], {b}::DOUBLE[]), 6)"
 
 
-@query(f"""WITH {_PAIRS}, r AS (SELECT k.plan_id, k.work_id, weighted_count, {_COS.format(a="x.embedding", b="y.embedding")} AS distance FROM k LEFT JOIN embeddings x ON x.vec_id = k.plan_id LEFT JOIN embeddings y ON y.vec_id = k.work_id % 400)
+@query(f"""WITH {_PAIRS}, r AS (SELECT k.plan_id, k.work_id, weighted_count, {_COS.format(a="x.embedding", b="y.embedding")} AS distance FROM k LEFT JOIN embeddings x ON x.vec_id = k.plan_id % (SELECT count(*) FROM embeddings) LEFT JOIN embeddings y ON y.vec_id = k.work_id % (SELECT count(*) FROM embeddings))
 SELECT plan_id, work_id, weighted_count, distance, round(weighted_count + 5 * coalesce(distance, 0), 6) AS vector_weighted FROM r""")
 def vector_rerank(t):
     pairs = _pairs(t).select("plan_id", "work_id", "weighted_count")
     v = t("embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    works = t("orders").select(F.col("o_orderkey").alias("work_id"), (F.col("o_orderkey") % 400).alias("vec_id")).join(v, "vec_id").select("work_id", "vector")
-    got = match.reranked(pairs, v.withColumnRenamed("vec_id", "plan_id"), works)
+    n = t("embeddings").count()
+    of = lambda d, c, name: d.select(F.col(c).alias(name), (F.col(c) % n).alias("vec_id")).join(v, "vec_id").select(name, "vector")
+    got = match.reranked(pairs, of(t("customer"), "c_custkey", "plan_id"), of(t("orders"), "o_orderkey", "work_id"))
     return got.withColumn("distance", F.round("distance", 6)).withColumn("vector_weighted", F.round(F.col("weighted_count") + 5 * F.coalesce("distance", F.lit(0.0)), 6))
 
 
 @query(f"""SELECT * FROM (SELECT q.vec_id AS query_id, b.vec_id AS base_id, {_COS.format(a="q.embedding", b="b.embedding")} AS distance, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS.format(a="q.embedding", b="b.embedding")}, b.vec_id) AS rank
-FROM embeddings q, embeddings b) WHERE rank <= 5""")
+FROM embeddings q JOIN embeddings b ON q.vec_id % 100 = 0) WHERE rank <= 5""")
 def vector_search(t):
-    """Every vector is a query."""
+    """Vectors of ids divisible by 100 are queries against all."""
     v = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return match.vector_search(v, v, 5).withColumn("rank", F.col("rank").cast("long"))
+    return match.vector_search(v.where("id % 100 = 0"), v, 5).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("""SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) ORDER BY doc_id LIMIT 100""")
@@ -105,11 +106,13 @@ def more_like_this(t):
     return match.top_k(scores.withColumn("score", F.round("score", 5)), ["item_id"], 10, F.desc("score"), F.col("doc_id"))
 
 
-@query()
+@query(f"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN n >= 3 WHEN 1 THEN n >= 7 ELSE false END AS found FROM (SELECT doc_id, len({_TOK.format(x='lower(text)')}) AS n FROM documents)""")
 def phrase_match(t):
-    """Documents that hold the third to fifth word of their own text in that order within three places."""
-    rows = t("documents").select("doc_id", "text", F.slice(match.tokens(F.col("text")), 3, 3).alias("words"))
-    return rows.select("doc_id", match.phrase(F.col("text"), F.col("words")).alias("found"))
+    """Words of a document's own text: the third to fifth, the third and seventh (three others between), and one that is not there."""
+    rows = t("documents").select("doc_id", "text", match.tokens(F.col("text")).alias("ws"))
+    third = F.get("ws", F.lit(2))
+    words = F.when(F.col("doc_id") % 3 == 0, F.slice("ws", 3, 3)).when(F.col("doc_id") % 3 == 1, F.array(third, F.get("ws", F.lit(6)))).otherwise(F.array(third, F.lit("zzzznotaword")))
+    return rows.select("doc_id", match.phrase(F.col("text"), words).alias("found"))
 
 
 @query(r"""SELECT doc_id, replace(regexp_replace(chr(1) || regexp_replace(text, '([^\p{L}\p{N}_])', chr(1) || '\1' || chr(1), 'g') || chr(1), '(?i)' || chr(1) || '(of|und|que)' || chr(1), '<mark>\1</mark>', 'g'), chr(1), '') AS text FROM documents""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -28,11 +30,15 @@ def parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None)
 
 
 def latest(spark: SparkSession, path: str, column: str = "release_date", until: str | None = None) -> DataFrame:
-    """The newest dated folder (``column=YYYY-MM-DD``) of a table, no later than ``until``; other folders are never listed for data."""
-    df = spark.read.parquet(path)
-    dates = df.select(column).distinct() if until is None else df.where(F.col(column) <= until).select(column).distinct()
-    newest = dates.agg(F.max(column)).first()[0]
-    return df.where(F.col(column) == F.lit(newest)).drop(column)
+    """The newest dated folder (``column=YYYY-MM-DD``) of a table, no later than ``until``, found by listing folders, without a job."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root) if s.isDirectory()]
+    dates = [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
+    dates = [d for d in dates if until is None or d <= until]
+    if not dates:
+        raise FileNotFoundError(f"{path} has no folder of {column}{f' up to {until}' if until else ''}")
+    return spark.read.parquet(f"{path}/{column}={max(dates)}")
 
 
 def items(df: DataFrame, pk: str | None = None, sk: str | None = None, where: Column | None = None, columns: list[str] | None = None) -> DataFrame:
@@ -43,5 +49,23 @@ def items(df: DataFrame, pk: str | None = None, sk: str | None = None, where: Co
     return df.select(*columns) if columns else df
 
 
+def first_files(paths: list[str], size: int, batches: int | None = None) -> list[list[str]]:
+    """Files in batches of ``size``, by name; the first ``batches`` of them."""
+    out = [sorted(paths)[i : i + size] for i in range(0, len(paths), size)]
+    return out if batches is None else out[:batches]
+
+
+def rows_of(df: DataFrame, page: int = 500) -> Iterator[list]:
+    """All rows in pages, a partition at a time on the driver: for clients that stream a result."""
+    held: list = []
+    for row in df.toLocalIterator():
+        held.append(row)
+        if len(held) == page:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()

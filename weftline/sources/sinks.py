@@ -2,16 +2,60 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weftline.functions import clean
 
+SAMPLED = 10_000
 
-def export(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Snappy Parquet in files of a bounded size, replacing what is there.  The hint lets AQE even out the partitions."""
-    df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+def export(df: DataFrame, path: str, bytes_per_file: int = 100 << 20, rows_per_file: int = 1_000_000) -> None:
+    """Snappy Parquet in files of about a size at most, replacing what is there.
+
+    The hint lets AQE even out the partitions; rows a file follow from the bytes of a sample of about ``SAMPLED`` rows as JSON, which are more
+    than those of Parquet, so files come out below the size.
+    """
+    n = df.count()
+    mean = df.sample(min(1.0, SAMPLED / max(n, 1)), 1).agg(F.avg(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    rows = min(rows_per_file, max(1, int(bytes_per_file / max(mean or 1.0, 1.0))))
+    df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows).parquet(path)
+
+
+def sent(df: DataFrame, send: Callable[[list[str]], dict[str, str]], key: str, batch: int = 1000, tries: int = 10, first_wait: float = 2.0, most_wait: float = 600.0) -> DataFrame:
+    """``key, error``: documents given to ``send`` as JSON, in batches inside the executors, and what is wrong with those that failed.
+
+    ``send`` returns the errors by key; documents with an error, or of a call that raises, are tried again after waits that double.
+    Upserts by key may be repeated, so a task that is run again does no harm.
+    """
+    slim = df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for i in range(0, len(pdf), batch):
+                left = dict(zip(pdf["key"].iloc[i : i + batch], pdf["value"].iloc[i : i + batch]))
+                failed: dict[str, str] = {}
+                for turn in range(tries):
+                    try:
+                        failed = send(list(left.values()))
+                    except Exception as e:  # whatever the client raises is reported for the whole batch
+                        failed = dict.fromkeys(left, f"{type(e).__name__}: {e}")
+                    left = {k: v for k, v in left.items() if k in failed}
+                    if not left:
+                        break
+                    if turn + 1 < tries:
+                        time.sleep(min(most_wait, first_wait * 2**turn))
+                yield pd.DataFrame({"key": list(left), "error": [failed[k] for k in left]})
+
+    return slim.mapInPandas(run, "key string, error string")
+
+
+def error_summary(errors: DataFrame) -> DataFrame:
+    """``error, n, example``: how often each error came, the most frequent first."""
+    return errors.groupBy("error").agg(F.count("*").alias("n"), F.min("key").alias("example")).orderBy(F.desc("n"), "error")
 
 
 def json_gz(df: DataFrame, path: str) -> None:

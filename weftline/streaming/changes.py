@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from weftline.operators.hub import LATEST
 
+BUCKETS = 64
 EVENT = "event_name string, pk string, sk string, seq long, modified timestamp, title string, abstract string, people array<string>, affiliations array<string>, funders array<string>"
 
 
@@ -39,28 +40,76 @@ def applied(index: DataFrame, batch: DataFrame, remove: bool = True) -> DataFram
     return index.join(gone.select("pk"), "pk", "left_anti").select(*index.columns).unionByName(postings(last.where("event_name <> 'REMOVE'")).select(*index.columns))
 
 
-def maintain(events: DataFrame, folder: str, checkpoint: str, remove: bool = True) -> StreamingQuery:
-    """Keep the inverted lists of a stream in ``folder``: each batch writes a new generation, named after it, so that a batch
-    that is run again writes the same one; the newest complete generation is the table."""
+def maintain(events: DataFrame, folder: str, checkpoint: str, remove: bool = True, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the inverted lists of a stream in ``folder``, by buckets of the hashed record key.
+
+    Each batch writes a new generation, named after it, of the buckets it touches, so a batch costs what it touches and one that is run
+    again writes the same.  A manifest of the buckets completes a generation; the newest complete generation of each bucket is the
+    table, and those that a bucket needs no more are deleted, the last two generations apart.
+    """
 
     def one(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = current(spark, folder, number)
-        new = postings(last_by_key(relevant(batch)).where("event_name <> 'REMOVE'")) if before is None else applied(before, batch, remove)
-        new.write.mode("overwrite").parquet(f"{folder}/generation={number:012d}")
+        last = last_by_key(relevant(batch)).withColumn("bucket", _bucket(buckets))
+        touched = sorted(r["bucket"] for r in last.select("bucket").distinct().collect())  # as many as there are buckets, at most
+        if touched:
+            before = current(spark, folder, number, touched)
+            new = postings(last.where("event_name <> 'REMOVE'")) if before is None else applied(before, batch, remove)
+            path = f"{folder}/generation={number:012d}"
+            new.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+            spark.createDataFrame([(k,) for k in touched], "bucket int").coalesce(1).write.mode("overwrite").json(f"{folder}/manifest/generation={number:012d}")
+            _prune(spark, folder)
 
     return events.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete generation (before a number), or None."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("pk"), F.lit(buckets)).cast("int")
+
+
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    return sorted(str(s.getPath()) for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def _generation(path: str) -> int:
+    return int(path.rpartition("=")[2])
+
+
+def _newest(spark: SparkSession, folder: str, before: int | None = None) -> dict[int, int]:
+    """Bucket -> its newest complete generation (before a number)."""
+    done = [p for p in _listed(spark, f"{folder}/manifest") if (before is None or _generation(p) < before) and any(f.endswith("/_SUCCESS") for f in _listed(spark, p))]
+    if not done:
+        return {}
+    rows = spark.read.schema("bucket int, generation string").option("basePath", f"{folder}/manifest").json(done).groupBy("bucket").agg(F.max("generation").alias("g")).collect()
+    return {r["bucket"]: int(r["g"]) for r in rows}
+
+
+def _prune(spark: SparkSession, folder: str) -> None:
+    newest = _newest(spark, folder)
+    needed = set(newest.values())
+    jvm = spark.sparkContext._jvm
+    for kind in ("", "/manifest"):
+        there = [p for p in _listed(spark, f"{folder}{kind}") if "generation=" in p]
+        for p in there[:-2]:
+            if _generation(p) not in needed:
+                path = jvm.org.apache.hadoop.fs.Path(p)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def current(spark: SparkSession, folder: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+    """The table as of the newest complete generations (before a number), of all or some buckets; None before the first."""
+    newest = _newest(spark, folder, before)
+    if not newest:
         return None
-    done = sorted(str(s.getPath()) for s in fs.listStatus(path) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    done = [d for d in done if before is None or int(d.rpartition("=")[2]) < before]
-    return spark.read.parquet(done[-1]) if done else None
+    held = {p: {q.rpartition("=")[2] for q in _listed(spark, p)} for p in _listed(spark, folder) if "generation=" in p}
+    where = {_generation(p): p for p in held}
+    paths = [f"{where[g]}/bucket={k}" for k, g in sorted(newest.items()) if (buckets is None or k in buckets) and g in where and str(k) in held[where[g]]]
+    if paths:
+        return spark.read.parquet(*paths)
+    return postings(spark.createDataFrame([], EVENT)).limit(0)
 
 
 def version_stream(updates: DataFrame, hours: int = 1) -> DataFrame:
