@@ -8,7 +8,7 @@ Rows go down a routing tree of vantage points to a leaf (a few distances a row,
 cut at medians of a sample of about ``SAMPLE`` numbers, which affects balance alone and bounds what the driver holds.  A leaf over
 ``shard`` rows is divided among several shards by hash, so that a hot cell, even of equal vectors, needs no single task.
 Every row is indexed.  Queries are the rows whose id is divisible by ``every``.  The sample gives each an upper bound of its
-k-th distance; it visits the shards of leaves that the relaxed bound cannot exclude.  Queries meet shards in blocks: a task
+k-th distance; it visits its own leaf, whatever the bound, and the shards of leaves that the relaxed bound cannot exclude.  Queries meet shards in blocks: a task
 holds one shard and at most about ``BLOCK`` queries.  Leaf distances are matrix products.
 
 Defined results: rows with a NULL id, a NULL, empty or zero vector, a NULL component or one not finite as a 32-bit float, or another
@@ -204,6 +204,7 @@ def neighbours(vectors: DataFrame, k: int = K, factor: float = FACTOR, every: in
     asks = F.col("id") % every == 0
     ranges = [f(F.get("path", F.lit(i))).alias(f"{n}{i}") for i in range(depth) for n, f in (("lo", F.min), ("hi", F.max))]
     stats = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.count(F.when(asks, 1)).alias("asked"), *ranges).orderBy("leaf").toArrow().to_pandas()  # a row for each leaf
+    rows_of = {int(r.leaf): int(r.n) for r in stats.itertuples()}
     shards = {int(r.leaf): -(-int(r.n) // size) for r in stats.itertuples()}
     blocks, used, n_block = {}, 0, 0  # leaf -> (first block, blocks); small leaves share one
     for r in stats.itertuples():
@@ -222,14 +223,16 @@ def neighbours(vectors: DataFrame, k: int = K, factor: float = FACTOR, every: in
             first, parts = (np.array([blocks[leaf][i] for leaf in pdf["leaf"]]) for i in (0, 1))
             mine = first + pdf["key"].to_numpy(np.int64) % parts
             to_pivot = apart(x, routes.pivots)
+            few = np.array([rows_of[leaf] <= k for leaf in pdf["leaf"]])  # too few at home: look everywhere
             for r in stats.itertuples():
                 bound = np.zeros(len(x))
                 for i, node in enumerate(routes.above[int(r.leaf)]):
                     d = to_pivot[:, node]
                     bound = np.maximum(bound, np.maximum(getattr(r, f"lo{i}") - d, d - getattr(r, f"hi{i}")))
-                go = np.flatnonzero((bound <= factor * kth + 2e-6) | (pdf["leaf"].to_numpy() == r.leaf))
+                go = np.flatnonzero((bound <= factor * kth + 2e-6) | (pdf["leaf"].to_numpy() == r.leaf) | few)
+                reach = np.where((pdf["leaf"].to_numpy()[go] == r.leaf) | few[go], np.inf, kth[go])  # so that pruning leaves k of them
                 for part in range(shards[int(r.leaf)]):
-                    yield pd.DataFrame({"leaf": int(r.leaf), "part": part, "block": mine[go], "key": pdf["key"].to_numpy()[go], "id": ids[go], "v": pdf["v"].to_numpy()[go], "kth": kth[go]})
+                    yield pd.DataFrame({"leaf": int(r.leaf), "part": part, "block": mine[go], "key": pdf["key"].to_numpy()[go], "id": ids[go], "v": pdf["v"].to_numpy()[go], "kth": reach})
 
     def meet(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(queries):
