@@ -2,7 +2,7 @@
 
 ``h(i) = sum(GEAR[byte(i-k)] << k, k < 16)`` modulo 2**32 marks a candidate cut after byte i where its top
 ``BITS`` bits are zero.  A candidate cuts if the candidate before it lies at least ``MIN_GAP`` bytes back, so each
-cut depends only on bytes just before it: an insertion moves later chunks without changing them.  Chunks over
+cut depends only on bytes just before it (a text begins with a candidate): an insertion moves later chunks without changing them.  Chunks over
 ``MAX_CHUNK`` bytes are divided.  Cuts fall between characters.
 
 The unit that is deduplicated is the fewest whole chunks from each cut on that make ``MIN_PASSAGE`` characters, by a 96-bit digest
@@ -44,7 +44,7 @@ def chunk_spans(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.nda
     follows = np.zeros(len(raw), bool)
     follows[:-1] = (raw[1:] & 0xC0) == 0x80
     cut = np.flatnonzero(((h >> np.uint32(32 - BITS)) == 0) & ~follows) + 1
-    cut = cut[np.diff(cut, prepend=-MIN_GAP) >= MIN_GAP]
+    cut = cut[np.diff(cut, prepend=0) >= MIN_GAP]  # each text begins with a candidate: the gap before it hashes to 0
     doc = np.searchsorted(begin, cut, "left") - 1
     cut = cut[(cut > begin[doc]) & (cut < end[doc])] if len(cut) else cut
     some = end > begin
