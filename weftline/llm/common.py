@@ -3,22 +3,40 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
+_SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this library when it runs from a checkout (installed clusters already can)."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
-    if ROOT not in paths:
-        env["PYTHONPATH"] = ":".join([ROOT, *paths])
+    """Let Python workers import this library when it runs from a checkout: by path in local mode, as a zip file in the shared folder of a cluster."""
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        paths = [p for p in context.environment.get("PYTHONPATH", "").split(":") if p]
+        if ROOT not in paths:
+            context.environment["PYTHONPATH"] = ":".join([ROOT, *paths])
+    elif context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for f in sorted((Path(ROOT) / "weftline").rglob("*.py")):
+                z.write(f, f.relative_to(ROOT))
+        path = f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}.zip"
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+        out = fs.create(target, True)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        fs.deleteOnExit(target)
+        context.addPyFile(path)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
