@@ -136,10 +136,9 @@ def separate(sizes: np.ndarray, bins: list[list[int]], keys: list, capacity: int
             if fits:
                 c = max(fits, key=lambda c: (fill[c], -c))
             else:
-                swaps = [(int(sizes[y]), -c, -y) for c in free if c > b for y in bins[c] if sizes[y] <= size and fill[c] - sizes[y] + size <= capacity and keys[y] is not None and keys[y] not in held[b]]
+                swaps = [(abs(int(sizes[y]) - size), c, y) for c in free for y in bins[c] if fill[c] - sizes[y] + size <= capacity and fill[b] - size + sizes[y] <= capacity and (keys[y] is None or keys[y] not in held[b])]
                 if swaps:
-                    _, c, y = max(swaps)
-                    c, back = -c, -y
+                    _, c, back = min(swaps)
                 else:
                     c = len(bins)
                     bins.append([])
@@ -153,9 +152,11 @@ def separate(sizes: np.ndarray, bins: list[list[int]], keys: list, capacity: int
             if back is not None:
                 bins[c].remove(back)
                 bins[b].append(back)
-                held[c].discard(keys[back])
-                held[b].add(keys[back])
-                seen.add(keys[back])
+                if keys[back] is not None:
+                    if not any(keys[i] == keys[back] for i in bins[c]):
+                        held[c].discard(keys[back])
+                    held[b].add(keys[back])
+                    seen.add(keys[back])
                 fill[c] -= int(sizes[back])
                 fill[b] += int(sizes[back])
     return bins
