@@ -19,18 +19,19 @@ counts; an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import ship, stored
 
-SCALES, NEAR, PATCH = (1.0, 1.25, 1.56, 1.95, 2.44), 2, 11  # half width of the descriptor patch
+SCALES, NEAR, PATCH = (1.0, 1.25, 1.56, 1.95, 2.44), 4, 11  # half width of the descriptor patch
 TABLES, TABLE_BITS, MAX_BITS, CONSENSUS, SHIFT, TURN = 5, 25, 18, 6, 4.0, 0.25
 REFINED, TOLERANCE, BATCH = 8, 0.012, 24  # transforms fitted again; of the greater side; images described at once
 POOL, LEARN_FROM, BALANCE = 3000, 16, 0.15  # tests to choose from, pictures to choose them on
@@ -175,7 +176,7 @@ def learned_tests(n: int = 128) -> np.ndarray:
         limit += 0.05
 
 
-def describe(images: list[np.ndarray], tests: np.ndarray | None = None) -> pd.DataFrame:
+def describe(images: list[np.ndarray], tests: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """``image`` (its number), ``place, hi, lo`` of every corner; a place is x and y in eighths of a pixel (24 bits each), scale (4) and angle (12)."""
     tests = learned_tests() if tests is None else tests
     out = []
@@ -191,8 +192,8 @@ def describe(images: list[np.ndarray], tests: np.ndarray | None = None) -> pd.Da
                 x, y = (np.rint(8 * ((v + 0.5) * scale - 0.5)).clip(0).astype(np.int64) for v in (xs, ys))
                 turn = np.rint((angle + np.pi) * (4095 / (2 * np.pi))).astype(np.int64)
                 place = x << 40 | y << 16 | SCALES.index(scale) << 12 | turn
-                out.append(pd.DataFrame({"image": mine[which], "place": place, "hi": bits[:, 0].astype(np.int64), "lo": bits[:, 1].astype(np.int64)}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("image", "place", "hi", "lo")})
+                out.append((mine[which], place, bits[:, 0].astype(np.int64), bits[:, 1].astype(np.int64)))
+    return {c: np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i, c in enumerate(("image", "place", "hi", "lo"))}
 
 
 def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -201,21 +202,43 @@ def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return (p >> 40) / 8, ((p >> 16) & 0xFFFFFF) / 8, np.array(SCALES)[(p >> 12) & 15], (p & 4095) * (2 * np.pi / 4095) - np.pi
 
 
+_IMAGE = "media_id long, digest binary, place array<long>, hi array<long>, lo array<long>"
+
+
 def descriptors(media: DataFrame, id_column: str = "media_id", column: str = "image") -> DataFrame:
-    """``media_id, place, hi, lo``: a row for each corner of each image."""
+    """``media_id, digest`` of the bytes, and ``place, hi, lo`` of every corner: a row for each image with bytes."""
     ship(media.sparkSession)
     tests = learned_tests()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for i in range(0, len(pdf), 256):
-                some = [(key, img) for key, img in zip(pdf["media_id"].iloc[i : i + 256], map(decode, pdf["image"].iloc[i : i + 256])) if img is not None]
-                if some:
-                    found = describe([img for _, img in some], tests)
-                    yield found.assign(media_id=np.array([k for k, _ in some])[found["image"].to_numpy()])[["media_id", "place", "hi", "lo"]]
-
-    slim = media.select(F.col(id_column).cast("long").alias("media_id"), F.col(column).alias("image")).where("media_id is not null and image is not null")
-    return slim.mapInPandas(run, "media_id long, place long, hi long, lo long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple] = {}  # bytes met again need no second description
+        for part in _slices(batches):
+            data = part.column(1).to_pylist()
+            digests = [hashlib.sha256(x).digest() for x in data]
+            if len(known) > 4096:
+                known.clear()
+            new = {d: x for d, x in zip(digests, data) if d not in known}
+            read = [(d, img) for d, img in ((d, decode(x)) for d, x in new.items()) if img is not None]
+            known |= dict.fromkeys(new, ([], [], []))
+            if read:
+                found = describe([img for _, img in read], tests)
+                order = np.argsort(found["image"], kind="stable")
+                ends = np.searchsorted(found["image"][order], np.arange(len(read) + 1))
+                for n, (d, _) in enumerate(read):
+                    known[d] = tuple(found[c][order[ends[n] : ends[n + 1]]] for c in ("place", "hi", "lo"))
+            got = [known[d] for d in digests]
+            lists = [pa.array([g[k] for g in got], pa.list_(pa.int64())) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests, pa.binary()), *lists], ["media_id", "digest", "place", "hi", "lo"])
+
+    slim = media.select(F.col(id_column).cast("long").alias("media_id"), F.col(column).alias("image")).where("media_id is not null and length(image) > 0")
+    return slim.mapInArrow(run, _IMAGE)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time: images are large."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
 
 
 def consensus(a: np.ndarray, b: np.ndarray) -> tuple[int, float, float, float, float] | None:
@@ -266,18 +289,17 @@ def copies(media: DataFrame, id_column: str = "media_id", column: str = "image")
     Table keys join descriptor to descriptor, with places packed along, so nothing is joined back; pairs meet again in several
     tables, so matches are made distinct before image pairs of fewer than ``CONSENSUS`` matches are dropped and the rest checked.
     """
-    slim = media.select(F.col(id_column).cast("long").alias("media_id"), F.col(column).alias("image")).where("media_id is not null and image is not null")
-    ids = slim.select("media_id", F.sha2("image", 256).alias("digest"), (F.length("image") > 0).alias("some"))
-    first = stored(ids.where("some").groupBy("digest").agg(F.min("media_id").alias("first"), F.max("media_id").alias("last")))
-    members = ids.join(first.where("first < last").drop("last"), "digest").where("media_id <> first").select(F.col("first").alias("media_a"), F.col("media_id").alias("media_b")).distinct()
-    one = slim.join(first.select(F.col("first").alias("media_id")).distinct(), "media_id", "left_semi")
-    points = stored(descriptors(one))
+    images = stored(descriptors(media, id_column, column))
+    first = images.groupBy("digest").agg(F.min("media_id").alias("first"), F.max("media_id").alias("last")).where("first < last").drop("last")
+    members = stored(images.select("media_id", "digest").join(first, "digest").where("media_id <> first").select(F.col("first").alias("media_a"), F.col("media_id").alias("media_b"), "digest").distinct())
+    beside = members.select(F.col("media_b").alias("media_id"), "digest")
+    points = images.join(beside, ["media_id", "digest"], "left_anti").select("media_id", F.explode(F.arrays_zip("place", "hi", "lo")).alias("c")).select("media_id", "c.*")
     bits = []
     for t in range(TABLES):
         at = t * TABLE_BITS
         high, low = F.shiftleft("hi", at) if at < 64 else F.shiftleft("lo", at - 64), F.shiftrightunsigned("lo", 64 - at) if 0 < at < 64 else F.lit(0).cast("long")
         bits.append(F.shiftrightunsigned(high.bitwiseOR(low), 64 - TABLE_BITS) + F.lit(t << TABLE_BITS))
-    keyed = points.distinct().select("media_id", "place", "hi", "lo", F.explode(F.array(*bits)).alias("key"))
+    keyed = points.select("media_id", "place", "hi", "lo", F.explode(F.array(*bits)).alias("key"))
     a, b = keyed.alias("a"), keyed.alias("b")
     far = F.bit_count(F.col("a.hi").bitwiseXOR(F.col("b.hi"))) + F.bit_count(F.col("a.lo").bitwiseXOR(F.col("b.lo")))
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.media_id") < F.col("b.media_id")) & (far <= MAX_BITS))
@@ -285,13 +307,16 @@ def copies(media: DataFrame, id_column: str = "media_id", column: str = "image")
     enough = met.where(F.size("ps") >= CONSENSUS).select("media_a", "media_b", F.array_sort("ps").alias("ps"))
     enough = enough.select("media_a", "media_b", F.col("ps.a").alias("a"), F.col("ps.b").alias("b"))
 
-    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            found = [(x, y, consensus(p, q)) for x, y, p, q in zip(pdf["media_a"], pdf["media_b"], pdf["a"], pdf["b"])]
-            yield pd.DataFrame([(x, y, *f) for x, y, f in found if f], columns=["media_a", "media_b", "inliers", "scale", "turn", "dx", "dy"])
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            x, y, p, q = (part.column(i) for i in range(4))
+            found = [consensus(p[i].values.to_numpy(), q[i].values.to_numpy()) for i in range(part.num_rows)]
+            some = [i for i, f in enumerate(found) if f]
+            rest = [pa.array([found[i][k] for i in some], pa.float64() if k else pa.int32()) for k in range(5)]
+            yield pa.RecordBatch.from_arrays([x.take(pa.array(some, pa.int64())), y.take(pa.array(some, pa.int64())), *rest], ["media_a", "media_b", "inliers", "scale", "turn", "dx", "dy"])
 
-    pairs = enough.mapInPandas(check, _PAIR)
-    same = members.select("media_a", "media_b", F.lit(None).cast("int").alias("inliers"), F.lit(1.0).alias("scale"), *[F.lit(0.0).alias(c) for c in ("turn", "dx", "dy")])
+    pairs = enough.mapInArrow(check, _PAIR)
+    same = members.select("media_a", "media_b").distinct().select("media_a", "media_b", F.lit(None).cast("int").alias("inliers"), F.lit(1.0).alias("scale"), *[F.lit(0.0).alias(c) for c in ("turn", "dx", "dy")])
     return pairs.unionByName(same)
 
 
@@ -319,17 +344,16 @@ def media_table(embeddings: DataFrame) -> DataFrame:
     ``vec_id`` that is 3 modulo 8 an edited copy, id ``2 * vec_id + 1``.  The given tables hold no media of their own."""
     ship(embeddings.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for i in range(0, len(pdf), 256):
-                ids, images = [], []
-                for v, x in zip(pdf["vec_id"].iloc[i : i + 256], pdf["embedding"].iloc[i : i + 256]):
-                    img = draw(zlib.crc32(np.asarray(x, np.float32).tobytes()))
-                    ids.append(2 * v)
-                    images.append(encode_png(img))
-                    if v % 8 == 3:
-                        ids.append(2 * v + 1)
-                        images.append(encode_png(edit(img, v // 8 % 4)))
-                yield pd.DataFrame({"media_id": ids, "image": images})
-
-    return embeddings.select("vec_id", "embedding").where("vec_id is not null and embedding is not null").mapInPandas(run, "media_id long, image binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            ids, images = [], []
+            for v, x in zip(part.column(0).to_pylist(), part.column(1)):
+                img = draw(zlib.crc32(np.asarray(x.as_py(), np.float32).tobytes()))
+                ids.append(2 * v)
+                images.append(encode_png(img))
+                if v % 8 == 3:
+                    ids.append(2 * v + 1)
+                    images.append(encode_png(edit(img, v // 8 % 4)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(images, pa.binary())], ["media_id", "image"])
+
+    return embeddings.select("vec_id", "embedding").where("vec_id is not null and embedding is not null").mapInArrow(run, "media_id long, image binary")
