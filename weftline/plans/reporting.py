@@ -261,11 +261,11 @@ def enriched_plans(t):
     return got.select("doi", F.array_join(F.transform("awards", lambda a: F.concat(a["award_id"], F.lit("="), F.array_join(a["funded_dois"], "|"))), ";").alias("awards"))
 
 
-@query(r"""SELECT p_partkey AS ref_id, 'd' || p_partkey AS doi, round(200.0 * (n - 1) / (2 * n), 6) AS score FROM (SELECT p_partkey, length('a study of ' || p_name || ' number ' || lpad((p_partkey * 7919 % 1000003)::VARCHAR, 7, '0') || lpad((p_partkey * 104729 % 1000003)::VARCHAR, 7, '0') || ' x') AS n FROM part) WHERE 200.0 * (n - 1) / (2 * n) >= 95""")
+@query("SELECT p_partkey AS ref_id, 'd' || p_partkey AS doi, round(200.0 * 32 / 66, 6) AS score FROM part")
 def similar_titles(t):
     """Titles that differ in one character, in accents, case and punctuation."""
     p = F.col("p_partkey")
-    number = F.concat(*[F.lpad(((p * k) % 1000003).cast("string"), 7, "0") for k in (7919, 104729)])
-    wanted = t("part").select(p.alias("ref_id"), _s("A  stüdy, of ", F.col("p_name"), " number ", number, " x").alias("title"))
-    works = t("part").select(_s("d", p).alias("doi"), _s("a study of ", F.col("p_name"), ": number ", number, " y").alias("title"))
+    text = F.md5(p.cast("string"))
+    wanted = t("part").select(p.alias("ref_id"), _s("É", F.upper(text), "!").alias("title"))
+    works = t("part").select(_s("d", p).alias("doi"), _s(" e", F.substring(text, 1, 31), "z").alias("title"))
     return enrich.similar_titles(wanted, works).withColumn("score", F.round("score", 6))
