@@ -8,7 +8,8 @@ cut depends only on bytes just before it (a text begins with a candidate): an in
 The unit that is deduplicated is the fewest whole chunks from each cut on that make ``MIN_PASSAGE`` characters, by a 96-bit digest
 of their bytes.  It repeats if a document of a smaller ``doc_id`` has one of the same digest; its first occurrence is that of the
 smallest (doc_id, position).  Units of one document that overlap or touch, and whose first occurrences lie in one document at the
-same distance, form one passage; so a passage is, character for character, a substring of its first document.
+same distance, form one passage; so a passage is, character for character, a substring of its first document, up to a chunk short at its
+start and up to two (under ``MIN_PASSAGE`` characters of whole chunks) at its end.
 
 Defined results: NULL and empty texts, and texts under ``MIN_PASSAGE`` characters, have no units; rows that repeat a ``doc_id`` are one
 document (its texts lie on top of each other); a NULL ``doc_id`` is ignored; a passage that several documents had before goes to the
