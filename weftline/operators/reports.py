@@ -12,7 +12,7 @@ from weftline.functions import clean
 from .hub import LATEST
 
 _FLAT = {
-    "dmptool_id": "pk", "dmp_created": "created", "dmp_modified": "modified", "dmp_doi_registered": "registered", "dmp_visibility": "visibility",
+    "tool_id": "pk", "dmp_created": "created", "dmp_modified": "modified", "dmp_doi_registered": "registered", "dmp_visibility": "visibility",
     "project_start": "project_start", "project_end": "project_end", "repositories": "repos", "repository_ids": "repo_ids",
 } | {c: c for c in "affiliations affiliation_ids people people_ids funders funder_ids funder_opportunity_ids grant_ids".split()}
 

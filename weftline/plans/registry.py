@@ -101,7 +101,7 @@ def _plans(t) -> DataFrame:
     fund = lambda award: F.struct(F.struct(seg.alias("name"), _s("https://ror.org/0", c % 9).alias("id")).alias("funder"), F.lit("granted").alias("status"), F.when(c % 3 == 0, " N/A ").otherwise(_s("OPP-", c)).alias("funding_opportunity_id"), award.alias("grant_id"))
     return _read(
         t("customer").select(
-            _s("https://DOI.org/10.48321/D", c).alias("dmp_id"), start.alias("created"), _s("<p>Plan of ", F.col("c_name"), "</p>").alias("title"), F.when(c % 4 > 0, seg).alias("description"), start.alias("project_start"), F.when(c % 5 > 0, F.date_add(start, (c % 2000).cast("int"))).alias("project_end"),
+            _s("https://DOI.org/10.9999/D", c).alias("dmp_id"), start.alias("created"), _s("<p>Plan of ", F.col("c_name"), "</p>").alias("title"), F.when(c % 4 > 0, seg).alias("description"), start.alias("project_start"), F.when(c % 5 > 0, F.date_add(start, (c % 2000).cast("int"))).alias("project_end"),
             F.array(F.struct(_s(seg, " (US)").alias("name"), _s("https://ror.org/0abcdef1", c % 10).alias("ror")), F.struct(F.lit(" ").alias("name"), F.lit(None).cast("string").alias("ror"))).alias("institutions"),
             F.array(F.struct(_s("Berg", c, ", Ann M").alias("name"), _s("https://orcid.org/0000-0002-1825-0", F.lpad((c % 1000).cast("string"), 3, "0")).alias("orcid"))).alias("authors"), F.array(fund(_s("award ", c + 10000)), fund(F.lit("tbd"))).alias("funding"),
         ),
@@ -189,7 +189,7 @@ def ror_index(t):
 
 
 _PLAN_SQL = r"""p AS (SELECT c_custkey AS c, c_mktsegment AS seg, c_name AS name, DATE '1994-01-01' + (c_custkey % 900)::INTEGER AS s FROM customer),
-plan AS (SELECT 'https://10.48321/d' || c AS doi, 'Plan of ' || name AS title, CASE WHEN c % 4 > 0 THEN seg END AS abstract, s AS project_start, CASE WHEN c % 5 > 0 THEN s + (c % 2000)::INTEGER END AS project_end, c, seg FROM p)"""
+plan AS (SELECT 'https://10.9999/d' || c AS doi, 'Plan of ' || name AS title, CASE WHEN c % 4 > 0 THEN seg END AS abstract, s AS project_start, CASE WHEN c % 5 > 0 THEN s + (c % 2000)::INTEGER END AS project_end, c, seg FROM p)"""
 
 
 @query(rf"""WITH {_PLAN_SQL} SELECT doi, title, abstract, project_start, project_end, seg || ' (US)/https://ror.org/0abcdef1' || (c % 10) AS institutions,

@@ -21,7 +21,7 @@ def _related(c: Column) -> Column:
 def _records(t) -> DataFrame:
     c = F.col("c_custkey")
     return t("customer").select(
-        _s("DMP#", c).alias("pk"), F.when(c % 7 == 0, "VERSION#old").otherwise("VERSION#latest").alias("sk"), _s("doi.org/10.48321/D", c).alias("dmp_id"), F.col("c_name").alias("title"), _s(" about\t\r\n", F.col("c_mktsegment"), " ").alias("description"), F.lit("2024-01-01").alias("created"), _s("2024-02-", c % 28 + 1).alias("modified"), F.lit(None).cast("string").alias("registered"),
+        _s("DMP#", c).alias("pk"), F.when(c % 7 == 0, "VERSION#old").otherwise("VERSION#latest").alias("sk"), _s("doi.org/10.9999/D", c).alias("dmp_id"), F.col("c_name").alias("title"), _s(" about\t\r\n", F.col("c_mktsegment"), " ").alias("description"), F.lit("2024-01-01").alias("created"), _s("2024-02-", c % 28 + 1).alias("modified"), F.lit(None).cast("string").alias("registered"),
         F.when(c % 2 == 0, "public").otherwise("private").alias("visibility"), F.lit("1994-01-01").alias("project_start"), F.lit("1995-01-01").alias("project_end"), F.when(c % 5 > 0, F.array(_s("r", F.col("c_nationkey")), _s("r", c % 4))).alias("affiliation_ids"), F.array("c_mktsegment").alias("affiliations"),
         *[F.array(_s(n, c)).alias(n) for n in ("people", "people_ids", "funders", "funder_ids", "funder_opportunity_ids", "grant_ids", "repos", "repo_ids")], _related(c).alias("related"),
     )
@@ -33,10 +33,10 @@ def partner_dump(t):
     return reports.of_organisations(_records(t), ["r3", "r7"]).select("pk")
 
 
-@query("SELECT 'DMP#' || c_custkey AS dmptool_id, 'https://doi.org/10.48321/D' || c_custkey AS dmp_id, c_name AS title, 'about ' || c_mktsegment AS abstract, CASE WHEN c_custkey % 2 = 0 THEN 'public' ELSE 'private' END AS dmp_visibility, 'people' || c_custkey AS people, 'repo_ids' || c_custkey AS repository_ids, 20 AS fields FROM customer")
+@query("SELECT 'DMP#' || c_custkey AS tool_id, 'https://doi.org/10.9999/D' || c_custkey AS dmp_id, c_name AS title, 'about ' || c_mktsegment AS abstract, CASE WHEN c_custkey % 2 = 0 THEN 'public' ELSE 'private' END AS dmp_visibility, 'people' || c_custkey AS people, 'repo_ids' || c_custkey AS repository_ids, 20 AS fields FROM customer")
 def flat_plans(t):
     got = reports.flat_export(_records(t))
-    return got.select("dmptool_id", "dmp_id", "title", "abstract", "dmp_visibility", F.array_join("people", ";").alias("people"), F.array_join("repository_ids", ";").alias("repository_ids"), F.lit(len(got.columns)).alias("fields"))
+    return got.select("tool_id", "dmp_id", "title", "abstract", "dmp_visibility", F.array_join("people", ";").alias("people"), F.array_join("repository_ids", ";").alias("repository_ids"), F.lit(len(got.columns)).alias("fields"))
 
 
 @query("""SELECT 'https://D' || l_orderkey AS dmp_id, 'w' || l_partkey AS id, arg_min(l_returnflag || l_linenumber, (l_linenumber, l_returnflag)) AS work_type, arg_min(l_quantity, (l_linenumber, l_returnflag, l_quantity)) AS score FROM lineitem GROUP BY ALL""")
@@ -56,7 +56,7 @@ def match_report(t):
     person = lambda g, f: F.struct(g.alias("given"), f.alias("family"))
     one = F.struct(_s("10.1/", k).alias("match_doi"), (F.col("o_totalprice") / 10000).alias("weighted_count"), F.array(F.when(k % 2 == 1, _s("r", F.col("c_nationkey"))).otherwise("x")).alias("affiliation_ids"), F.when(k % 4 > 0, p).alias("title"), p.alias("type"), p.alias("container_title"), text.alias("publisher"), text.alias("publication_date"), _s(k % 9).alias("volume"), text.alias("issue"), F.when(k % 3 > 0, p).alias("page"), F.array(person(F.lit("Ann"), F.lit("Berg")), person(text, p)).alias("authors"))
     lines = t("customer").join(t("orders"), c == F.col("o_custkey")).groupBy("c_custkey", "c_nationkey").agg(F.collect_list(one).alias("matches"))
-    lines = lines.select(_s("DMP#D", c).alias("dmp_doi"), F.lit("coki").alias("provenance"), F.array(_s("r", F.col("c_nationkey"))).alias("affiliation_ids"), "matches")
+    lines = lines.select(_s("DMP#D", c).alias("dmp_doi"), F.lit("harvest").alias("provenance"), F.array(_s("r", F.col("c_nationkey"))).alias("affiliation_ids"), "matches")
     organisations = t("nation").where("n_nationkey < 12").select(_s("r", F.col("n_nationkey")).alias("affiliation_id"), F.col("n_name").alias("affiliation_name"))
     pilots = [f"DMP#D{i}" for i in range(0, 200_000, 50)]
     return reports.match_report(lines, organisations, pilots).select("dmp_id", "is_pilot_dmp", "affiliation_id", "affiliation_name", "related_work", "location", "authors", F.round("weighted_score", 6).alias("weighted_score"))

@@ -12,14 +12,14 @@ from .registry import _s
 
 
 @query(r"""SELECT c_custkey, lower('0R' || c_custkey) AS loose, lower('00000001' || c_custkey) AS isni, '0000000121' || lpad((c_custkey % 100000)::VARCHAR, 5, '0') || 'X' AS isni_digits, CASE WHEN c_custkey % 2 = 0 THEN '0abcdef' || lpad((c_custkey % 100)::VARCHAR, 2, '0') ELSE (987654321 + c_custkey)::VARCHAR END AS any_id,
-  CASE c_custkey % 3 WHEN 0 THEN (c_custkey + 10000)::VARCHAR WHEN 1 THEN 'nsf-' || c_custkey END AS award_no, 'PLAN#10.48321/d' || c_custkey AS plan_key, 'PROVENANCE#' || c_mktsegment AS provenance, '1-' || c_custkey AS pages, 'https://ror.org/0' || c_custkey AS ror, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS public_name,
+  CASE c_custkey % 3 WHEN 0 THEN (c_custkey + 10000)::VARCHAR WHEN 1 THEN 'nsf-' || c_custkey END AS award_no, 'PLAN#10.9999/d' || c_custkey AS plan_key, 'PROVENANCE#' || c_mktsegment AS provenance, '1-' || c_custkey AS pages, 'https://ror.org/0' || c_custkey AS ror, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS public_name,
   lower(c_mktsegment) AS bare, trim(c_mktsegment) AS tags, round(1 - (c_acctbal + 1000.0) / 11000.0, 6) AS near FROM customer""")
 def identifier_values(t):
     c, seg = F.col("c_custkey"), F.col("c_mktsegment")
     award = F.when(c % 3 == 0, _s("https://x/y?AWD_ID=", c + 10000, "&z")).when(c % 3 == 1, _s("NSF nsf-", c)).otherwise("none 12")
     got = {
         "loose": clean.loose_identifier(_s(" HTTPS://ror.org/0R", c)), "isni": clean.isni(_s("0000 0001 ", c)), "isni_digits": clean.isni_digits(_s("ISNI 0000 0001 21", F.substring(F.lpad((c % 100000).cast("string"), 5, "0"), 1, 2), " ", F.substring(F.lpad((c % 100000).cast("string"), 5, "0"), 3, 3), "X")),
-        "any_id": clean.any_id(F.when(c % 2 == 0, _s("https://ror.org/0abcdef", F.lpad((c % 100).cast("string"), 2, "0"))).otherwise(_s("10.13039/", c + 987654321))), "award_no": clean.grant_id(award), "plan_key": clean.plan_key(_s("https://doi.org/10.48321/D", c)),
+        "any_id": clean.any_id(F.when(c % 2 == 0, _s("https://ror.org/0abcdef", F.lpad((c % 100).cast("string"), 2, "0"))).otherwise(_s("10.13039/", c + 987654321))), "award_no": clean.grant_id(award), "plan_key": clean.plan_key(_s("https://doi.org/10.9999/D", c)),
         "provenance": clean.provenance_key(_s("PROVENANCE#", seg)), "pages": clean.page_range(F.lit("1"), _s(c)), "ror": clean.collapse_ror_url(_s("https://ror.org/https://ror.org/0", c)), "public_name": clean.public_name(F.when(c % 2 == 0, F.col("c_name")).otherwise(_s(F.col("c_name"), "@x.org"))),
         "bare": clean.bare_name(_s(seg, " (US) ")), "tags": clean.strip(clean.strip_tags(_s("<p>", seg, "</p>"))), "near": F.round(clean.nearness(F.col("c_acctbal"), F.lit(-1000.0), F.lit(10000.0)), 6),
     }
