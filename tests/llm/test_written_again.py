@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
@@ -189,6 +190,63 @@ def test_lm_does_not_depend_on_partitions_and_beats_frequencies(spark):
     assert odd[1][0] / odd[0][0] < real[1][0] / real[0][0]
 
 
+def test_lm_trains_on_every_position(spark):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(90)]
+    texts = [" ".join(r.choice(words) for _ in range(n)) for n in (1, 2, 3, 40, 200)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id long, text string")
+    before, after = lm.start(lm.count_buckets(docs)), lm.fit(docs)
+    for text in texts:
+        line = [0, 0, *[int(before.token[b]) for b in lm.buckets(textkit.words([text]))], 0, 0]
+        for i in range(2, len(line) - 2):  # a position moves the vector of every class around it
+            assert all((after.embed[k][line[i + o]] != before.embed[k][line[i + o]]).any() for k, o in enumerate((-2, -1, 1, 2)))
+
+
+def test_lm_windows_of_long_texts(spark):
+    r = random.Random(9)
+    texts = [" ".join(f"w{r.randrange(500)}" for _ in range(n)) for n in (1, lm.PIECE - 1, lm.PIECE, lm.PIECE + 1, 3 * lm.PIECE + 7)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token = lm.start(lm.count_buckets(docs)).token
+    want, got = Counter(), Counter()
+    for text in texts:
+        line = [0, 0, *token[lm.buckets(textkit.words([text or ""]))].tolist(), 0, 0]
+        want.update(tuple(line[i - 2 : i + 3]) for i in range(2, len(line) - 2))
+    rows = lm.training_lines(docs, token).toPandas()
+    line, at = lm._unpacked(rows)
+    got.update(tuple(line[i - 2 : i + 3].tolist()) for i in at)
+    assert got == want and rows["n"].sum() == want.total() and rows["n"].max() <= lm.PIECE
+
+
+@pytest.mark.parametrize("size", [0.3, 40])
+def test_lm_gradient_as_written_again(size):
+    rng = np.random.default_rng(6)
+    net = lm.start(rng.integers(0, 50, 1 << lm.COUNT_BITS))
+    params = [p.astype(float) for p in net[2:]]
+    params[2] = rng.normal(0, size, params[2].shape).astype(np.float32).astype(float)
+    line, at = rng.integers(0, lm.VOCAB, 104), np.arange(2, 102)
+
+    def loss(embed, hidden, out, bias, mix=1.0):
+        h = np.tanh(hidden + sum(embed[k][line[at + o]] for k, o in enumerate((-2, -1, 1, 2))))
+        z = mix * (h @ out) + bias
+        top = z.max(1)
+        return (top + np.log(np.exp(z - top[:, None]).sum(1)) - z[np.arange(100), line[at]]).sum()
+
+    flat = np.concatenate([p.ravel() for p in params]).astype(np.float32)
+    (got, gains), (plain, _) = lm.gradient(flat, line, at, True), lm.gradient(flat, line, at, False)
+    assert np.allclose(got, plain, rtol=1e-3, atol=1e-4 * size)
+    assert np.allclose(gains, [-loss(*params, mix=a) for a in lm.MIXES], rtol=1e-4)
+    start = 0
+    for i, p in enumerate(params):
+        largest = np.argsort(-np.abs(got[start : start + p.size]))[:3]
+        for j in [*largest, *rng.integers(0, p.size, 3)]:
+            up, down = p.copy(), p.copy()
+            up.flat[j] += 1e-5
+            down.flat[j] -= 1e-5
+            slope = (loss(*params[:i], up, *params[i + 1 :]) - loss(*params[:i], down, *params[i + 1 :])) / 2e-5 / len(at)
+            assert abs(slope - got[start + j]) < 2e-3 * abs(slope) + 1e-4 * size
+        start += p.size
+
+
 # packing and mixing
 
 
