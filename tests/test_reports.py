@@ -1,5 +1,6 @@
 """Reports, search clauses, streams by buckets, bulk sending and the command line."""
 
+import datetime as dt
 import itertools
 import random
 
@@ -119,3 +120,17 @@ def test_command_line(spark, tmp_path):
         cli.main([name, f"{tmp_path}/works", f"{tmp_path}/plans", f"{tmp_path}/{name}"])
         got = spark.read.json(f"{tmp_path}/{name}").first()
         assert got["plan_id"] == "10.2/p" and (got["matches"] if name == "match" else got["works"])[0]["work_id"] == "10.1/a"
+
+
+def test_best_works_are_those_of_all_clauses(spark):
+    """Kinds of plans and works compared once give what all pairs give, ties and windows among them."""
+    day = lambda n: (dt.date(2000, 1, 1) + dt.timedelta(days=n)) if n % 4 else None
+    pair = lambda i, n: (i, n)
+    plans = [(f"p{i:02}", [f"w{i * 3:02}"] if i % 5 == 0 else [], [pair(f"a{i}", f"Name{i} Berg")], [pair(f"n{i % 3}", ["Blue", "Red"][i % 2])], [pair(None, "Fund")] if i % 3 else None, [("021nxhr62", f"NSF {i % 4:07}")] * (i % 3) or None, day(i % 6 * 100), None) for i in range(40)]
+    works = [(f"w{i:02}", [pair(f"a{i % 50}", None) if i % 2 else pair(None, f"Dr Name{i % 40} Berg")], [pair(f"n{i % 4}", None) if i % 3 else pair(None, "The Red group")], [pair(None, "A Fund")] if i % 2 else None, [f"{i % 5:07}", None], "OUTPUT_MANAGEMENT_PLAN" if i % 17 == 0 else None, day(i % 8 * 90 + 1)) for i in range(90)]
+    two = "array<struct<id:string,name:string>>"
+    p = spark.createDataFrame(plans, f"plan_id string, funded_dois array<string>, authors {two}, institutions {two}, funders {two}, awards array<struct<ror:string,text:string>>, project_start date, project_end date")
+    w = spark.createDataFrame(works, f"work_id string, authors {two}, institutions {two}, funders {two}, award_ids array<string>, work_type string, publication_date date")
+    must, should = searching.clauses(p, w)
+    want = {tuple(r) for r in match.search(list(must.values()), list(should.values()), w, p, k=4).collect()}
+    assert {tuple(r) for r in searching.best_works(p, w, 4).collect()} == want and len(want) > 100

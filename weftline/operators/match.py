@@ -174,7 +174,12 @@ def more_like_this(queries: DataFrame, docs: DataFrame, query_key: str, doc_key:
 
 
 def phrase(text: Column, words: Column, slop: int = 3) -> Column:
-    """Whether the words (an array) occur in order in the text with at most ``slop`` other words between them in all.
+    """Whether the words (an array) occur in order in the text with at most ``slop`` other words between them in all."""
+    return phrase_in(tokens(text), words, slop)
+
+
+def phrase_in(text: Column, words: Column, slop: int = 3) -> Column:
+    """:func:`phrase` in a text that is words already.
 
     For each start, the earliest next place of each word in turn is the closest ordered match.
     """
@@ -193,7 +198,7 @@ def phrase(text: Column, words: Column, slop: int = 3) -> Column:
         return F.exists(starts, span)
 
     # the words of the text are bound once, as the variable of a lambda
-    return F.coalesce((n > 0) & F.get(F.transform(F.array(tokens(text)), inside), F.lit(0)), F.lit(False))
+    return F.coalesce((n > 0) & F.get(F.transform(F.array(text), inside), F.lit(0)), F.lit(False))
 
 
 def highlighted(text: Column, terms: Column, tag: str = "mark") -> Column:
@@ -241,9 +246,18 @@ def search(must: list[DataFrame], should: list[DataFrame], works: DataFrame, pla
         every = every.unionByName(slim(d, False))
     pairs = every.groupBy("plan_id", "work_id").agg(F.sum("score").alias("score"), F.max("required").alias("required")).where("required").drop("required")
     pairs = pairs.join(works.select("work_id", "work_type", "publication_date"), "work_id").join(plans.select("plan_id", "project_start", "project_end"), "plan_id")
+    return best_pairs(pairs.where(allowed(excluded, years, earliest)), k)
+
+
+def allowed(excluded: str = "OUTPUT_MANAGEMENT_PLAN", years: int = 3, earliest: str = "1990-01-01") -> Column:
+    """The condition of :func:`search` on the type and date of a work and the window of a plan."""
     bounded = F.col("project_start") >= F.lit(earliest).cast("date")
     inside = (F.col("publication_date") >= F.col("project_start")) & (F.col("project_end").isNull() | (F.col("publication_date") <= F.add_months("project_end", 12 * years)))
-    pairs = pairs.where((F.coalesce(F.col("work_type"), F.lit("")) != excluded) & (~F.coalesce(bounded, F.lit(False)) | inside))
+    return (F.coalesce(F.col("work_type"), F.lit("")) != excluded) & (~F.coalesce(bounded, F.lit(False)) | inside)
+
+
+def best_pairs(pairs: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best works of each plan with the plan's best score beside."""
     pairs = pairs.withColumn("score_max", F.max("score").over(Window.partitionBy("plan_id")))
     return top_k(pairs, ["plan_id"], k, F.desc("score"), F.col("work_id"), rank="match_rank").select("plan_id", "work_id", "score", "score_max", "match_rank")
 

@@ -69,3 +69,9 @@ def rows_of(df: DataFrame, page: int = 500) -> Iterator[list]:
 
 def jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, three tasks to a core, before work that is heavy for each row: a small file is one task otherwise."""
+    tasks = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
