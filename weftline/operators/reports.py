@@ -40,20 +40,21 @@ def harvested_outputs(mods: DataFrame) -> DataFrame:
     return first.select("dmp_id", "id", "work.*")
 
 
-def match_report(lines: DataFrame, organisations: DataFrame, pilots: list[str], least: float = 10.0) -> DataFrame:
+def match_report(lines: DataFrame, organisations: DataFrame, pilots: DataFrame, least: float = 10.0) -> DataFrame:
     """A row for each match of weight ``least`` or more with a title, and each listed organisation that plan and work share.
 
     ``lines``: dmp_doi, provenance, affiliation_ids, matches array<struct(match_doi, weighted_count, affiliation_ids, title, type,
     container_title, publisher, publication_date, volume, issue, page, authors array<struct(given, family)>)>; ``organisations``:
-    affiliation_id, affiliation_name.
+    affiliation_id, affiliation_name; ``pilots``: dmp_doi.
     """
     m = F.col("m")
     places = F.array_compact(F.array(*[F.when(m[f].isNotNull(), F.concat(F.lit(f"{short}: "), m[f])) for f, short in (("volume", "vol"), ("issue", "iss"), ("page", "pgs"))]))
     authors = F.array_join(F.transform(m["authors"], lambda a: F.concat_ws(" ", a["given"], a["family"])), " | ")
     # concat_ws keeps no space for a missing part
-    rows = lines.distinct().select("dmp_doi", "provenance", "affiliation_ids", F.explode("matches").alias("m")).where((m["weighted_count"] >= least) & m["title"].isNotNull())
+    marked = lines.distinct().join(pilots.select("dmp_doi").distinct().withColumn("pilot", F.lit(True)), "dmp_doi", "left")
+    rows = marked.select("dmp_doi", F.coalesce("pilot", F.lit(False)).alias("is_pilot_dmp"), "provenance", "affiliation_ids", F.explode("matches").alias("m")).where((m["weighted_count"] >= least) & m["title"].isNotNull())
     rows = rows.select(
-        F.explode(F.array_intersect("affiliation_ids", m["affiliation_ids"])).alias("affiliation_id"), F.regexp_replace("dmp_doi", "^DMP#", "https://").alias("dmp_id"), F.col("dmp_doi").isin(*pilots).alias("is_pilot_dmp"), "provenance",
+        F.explode(F.array_intersect("affiliation_ids", m["affiliation_ids"])).alias("affiliation_id"), F.regexp_replace("dmp_doi", "^DMP#", "https://").alias("dmp_id"), "is_pilot_dmp", "provenance",
         F.concat(F.lit("https://doi.org/"), m["match_doi"]).alias("related_work"), *[m[f].alias(n) for n, f in (("type", "type"), ("container", "container_title"), ("publisher", "publisher"), ("publication_date", "publication_date"), ("title", "title"))],
         F.array_join(places, ", ").alias("location"), authors.alias("authors"), m["weighted_count"].alias("weighted_score"),
     )
