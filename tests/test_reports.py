@@ -41,6 +41,25 @@ def test_entity_matches_are_those_of_all_comparisons(spark, threshold):
     assert {(x["plan_id"], x["work_id"]): x["weighted_count"] for x in got} == plain_matches(plans, works, match.WEIGHTS, threshold)
 
 
+@pytest.mark.parametrize("shared", [1, 6])
+def test_plans_of_a_kind_match_alike(spark, shared):
+    """Entities of many plans are compared once for each kind of plan; ranks are those of all comparisons."""
+    r = random.Random(shared)
+    kinds = ["grant_id", "person_id", "person_name", "affiliation_id", "affiliation_name"]
+    plans = [(f"p{i:02}", 1, 3 + i % 3, t, r.choice("ab") if t[:1] != "p" else f"{i % 9}") for i in range(40) for t in r.choices(kinds, k=4)]  # with repetitions
+    works = [(f"w{i:02}", 1 + i % 7, t, r.choice("ab") if t[:1] != "p" else f"{r.randrange(9)}") for i in range(60) for t in r.choices(kinds, k=4)]
+    day = lambda c: F.date_add(F.lit("2020-01-01").cast("date"), F.col(c)).alias(c)
+    p = spark.createDataFrame(plans, "plan_id string, project_start int, project_end int, entity_type string, entity string").select("plan_id", day("project_start"), day("project_end"), "entity_type", "entity")
+    w = spark.createDataFrame(works, "work_id string, publication_date int, entity_type string, entity string").select("work_id", day("publication_date"), "entity_type", "entity")
+    want = {}
+    for (plan, work), n in sorted(plain_matches(plans, works, match.WEIGHTS, 3).items(), key=lambda x: (x[0][0], -x[1], x[0][1])):
+        want.setdefault(plan, []).append((work, n))
+    got = {}
+    for x in match.entity_matches(p, w, k=5, shared=shared).orderBy("plan_id", "match_rank").collect():
+        got.setdefault(x["plan_id"], []).append((x["work_id"], x["weighted_count"]))
+    assert got == {k: v[:5] for k, v in want.items()}
+
+
 @pytest.mark.parametrize("block", [2, 1000])
 def test_vector_search_in_blocks(spark, block):
     rng = np.random.default_rng(1)

@@ -31,39 +31,76 @@ def entities(df: DataFrame, key: list[str], columns: dict[str, str]) -> DataFram
     return rows.where("entity is not null")
 
 
-def _met(plans: DataFrame, works: DataFrame) -> DataFrame:
-    """``plan_id, work_id, entity_type, entity`` where entities agree and the work is published in the window."""
-    inside = (F.col("w.entity_type") == F.col("p.entity_type")) & (F.col("w.entity") == F.col("p.entity")) & F.col("w.publication_date").between(F.col("p.project_start"), F.col("p.project_end"))
-    return plans.alias("p").join(works.alias("w"), inside).select("p.plan_id", "w.work_id", "p.entity_type", "p.entity")
+_INSIDE = "publication_date between project_start and project_end"
+SHARED = 64  # plans that have an entity, from which on they are compared by kind
 
 
-def entity_matches(plans: DataFrame, works: DataFrame, weights: dict[str, int] = WEIGHTS, threshold: int = 3, k: int = 100) -> DataFrame:
+def entity_matches(plans: DataFrame, works: DataFrame, weights: dict[str, int] = WEIGHTS, threshold: int = 3, k: int = 100, shared: int = SHARED) -> DataFrame:
     """``plan_id, work_id``, a count for each entity type, ``weighted_count`` and ``match_rank``.
 
     ``plans``: plan_id, project_start, project_end, entity_type, entity; ``works``: work_id, publication_date, entity_type,
     entity.  Entities must agree and the work must be published in the window.  Id matches count each repetition, name
     matches once.
 
-    Types of a weight below the threshold have few, hot values.  A plan whose values of such types can't reach the threshold together
-    meets works by its other types alone, and the weak ones are counted on those pairs only; the result is the same.
+    An entity that more than ``shared`` plans have meets many works for each of them.  Plans of one window with the same such entities
+    count alike on works that share nothing else with them, so one plan of each kind is compared by these, and its ``k`` best are those of
+    all.  Works met by another entity are counted in full for the plan itself.  No entity takes from a count: the result is the same.
+    """
+    rows = plans.groupBy("plan_id", "project_start", "project_end", "entity_type", "entity").agg(F.count("*").alias("n"))
+    known = F.col("entity").isNotNull() & F.col("entity_type").isin(*weights)
+    often = plans.where(known).groupBy("entity_type", "entity").agg(F.count_distinct("plan_id").alias("plans")).where(F.col("plans") > shared).select("entity_type", "entity", F.lit(True).alias("hot"))
+    rows = rows.where(known).join(often, ["entity_type", "entity"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    each = [f"{t}_count" for t in weights]
+
+    # few plans to an entity
+    pairs = rows.where("not hot").join(works, ["entity_type", "entity"]).where(_INSIDE).select("plan_id", "work_id").distinct()
+    window = rows.select("plan_id", "project_start", "project_end", "entity_type", "entity", "n")
+    full = pairs.join(window, "plan_id").join(works, ["work_id", "entity_type", "entity"]).where(_INSIDE)
+    full = _counted(full, weights)
+
+    # many
+    same = ["project_start", "project_end", "entities"]
+    kinds = rows.where("hot").groupBy("plan_id", *same[:2]).agg(F.sort_array(F.collect_list(F.struct("entity_type", "entity", "n"))).alias("entities"))
+    kinds = kinds.withColumn("kind", F.min("plan_id").over(Window.partitionBy(*same)))
+    one = kinds.where("plan_id = kind").select("plan_id", *same[:2], F.explode("entities").alias("x")).select("plan_id", *same[:2], "x.*")
+    alike = top_k(_weighed(_counted(_met(one, works, weights, threshold), weights), weights, threshold), ["plan_id"], k, F.desc("weighted_count"), F.col("work_id"))
+    alike = kinds.select("plan_id", "kind").join(alike.withColumnRenamed("plan_id", "kind"), "kind").select("plan_id", "work_id", *each)
+
+    # one shuffle by plan serves the grouping and the ranks
+    both = full.unionByName(alike).repartition("plan_id").groupBy("plan_id", "work_id").agg(*[F.max(c).alias(c) for c in each])
+    return top_k(_weighed(both, weights, threshold), ["plan_id"], k, F.desc("weighted_count"), F.col("work_id").asc(), rank="match_rank")
+
+
+def _met(plans: DataFrame, works: DataFrame, weights: dict[str, int], threshold: int) -> DataFrame:
+    """Rows of plans (plan_id, window, entity_type, entity, n) beside those of works where entities agree and the window holds.
+
+    Types of a weight below the threshold have few, hot values.  A plan whose values of such types can't reach the threshold
+    together meets works by its other types alone, and the weak ones are counted on those pairs only.
     """
     weak = F.col("entity_type").isin(*[t for t, w in weights.items() if w < threshold])
     weight = F.try_element_at(F.create_map(*[F.lit(x) for tw in weights.items() for x in tw]), F.col("entity_type"))
     repeats = works.where(weak & ~F.col("entity_type").isin(*NAMES)).groupBy("work_id", "entity_type", "entity").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(1)).alias("most"))
     most = plans.where(weak).crossJoin(F.broadcast(repeats))  # one row
-    enough = most.groupBy("plan_id").agg(F.sum(F.when(F.col("entity_type").isin(*NAMES), weight).otherwise(weight * F.col("most"))).alias("bound")).where(F.col("bound") >= threshold).select("plan_id")
-    able, others = plans.join(enough, "plan_id", "left_semi"), plans.join(enough, "plan_id", "left_anti")
-    strong = _met(others.where(~weak), works.where(~weak))
-    pairs = strong.select("plan_id", "work_id").distinct().join(others.where(weak).select("plan_id", "entity_type", "entity"), "plan_id")
-    more = pairs.join(works.where(weak).select("work_id", "entity_type", "entity"), ["work_id", "entity_type", "entity"]).select("plan_id", "work_id", "entity_type", "entity")
-    met = _met(able, works).unionByName(strong).unionByName(more)
-    counts = met.groupBy("plan_id", "work_id", "entity_type", "entity").agg(F.count("*").alias("n"))
+    enough = most.groupBy("plan_id").agg(F.sum(F.when(F.col("entity_type").isin(*NAMES), weight).otherwise(weight * F.col("n") * F.col("most"))).alias("bound")).where(F.col("bound") >= threshold).select("plan_id")
+    mine = plans.select("plan_id", "project_start", "project_end", "entity_type", "entity", "n")
+    able, others = mine.join(enough, "plan_id", "left_semi"), mine.join(enough, "plan_id", "left_anti")
+    meet = lambda p, w: p.join(w, ["entity_type", "entity"]).where(_INSIDE).select("plan_id", "work_id", "entity_type", "entity", "n")
+    strong = meet(others.where(~weak), works.where(~weak))
+    pairs = strong.select("plan_id", "work_id").distinct().join(others.where(weak).select("plan_id", "entity_type", "entity", "n"), "plan_id")
+    more = pairs.join(works.where(weak).select("work_id", "entity_type", "entity"), ["work_id", "entity_type", "entity"]).select("plan_id", "work_id", "entity_type", "entity", "n")
+    return meet(able, works).unionByName(strong).unionByName(more)
+
+
+def _counted(met: DataFrame, weights: dict[str, int]) -> DataFrame:
+    """``plan_id, work_id`` and a count for each type of met rows, each of which stands for ``n`` of the plan's."""
+    counts = met.groupBy("plan_id", "work_id", "entity_type", "entity").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("n", F.when(F.col("entity_type").isin(*NAMES), F.lit(1)).otherwise(F.col("n")).cast("long"))
-    each = [F.sum(F.when(F.col("entity_type") == t, F.col("n")).otherwise(0)).alias(f"{t}_count") for t in weights]
-    pairs = counts.groupBy("plan_id", "work_id").agg(*each)
+    return counts.groupBy("plan_id", "work_id").agg(*[F.sum(F.when(F.col("entity_type") == t, F.col("n")).otherwise(0)).alias(f"{t}_count") for t in weights])
+
+
+def _weighed(counts: DataFrame, weights: dict[str, int], threshold: int) -> DataFrame:
     total = sum((F.col(f"{t}_count") * w for t, w in weights.items()), F.lit(0).cast("long"))
-    pairs = pairs.withColumn("weighted_count", total).where(F.col("weighted_count") >= threshold)
-    return top_k(pairs, ["plan_id"], k, F.desc("weighted_count"), F.col("work_id").asc(), rank="match_rank")
+    return counts.withColumn("weighted_count", total).where(F.col("weighted_count") >= threshold)
 
 
 def matches_by_plan(pairs: DataFrame) -> DataFrame:
