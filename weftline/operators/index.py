@@ -7,6 +7,7 @@ Catalyst sees one plan for each output.  Relations of many consumers are written
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -56,12 +57,51 @@ def longest(stats: DataFrame, length: str) -> DataFrame:
     return stats.groupBy("doi").agg(F.min(order)["id"].alias("id"), F.max(length).alias(length)).select("id", "doi", length)
 
 
+class Lookup(NamedTuple):
+    """A list column whose items are looked up: ``items`` by field ``match`` in ``index`` (``index_id`` to ``index_ror``), ``name`` kept, as ``out``."""
+
+    items: str
+    match: str
+    name: str
+    index: DataFrame
+    index_id: str
+    index_ror: Column
+    out: str
+
+
+def looked_up(df: DataFrame, *lookups: Lookup) -> DataFrame:
+    """``df`` with each list as struct(name, ror) in order: a NULL or unknown id keeps its name, an id of several organisations gives several items.
+
+    An id of very many organisations makes long lists, so these are gathered once for each distinct list of ids and joined last: rows are
+    shuffled with their ids alone, whatever the lists become.
+    """
+    keys = [f"__ids{n}" for n in range(len(lookups))]
+    ids = [F.coalesce(F.transform(x.items, partial(_field, x.match)), F.array().cast("array<string>")).alias(k) for k, x in zip(keys, lookups)]
+    lists = df.select(*ids).distinct()
+    for k, x in zip(keys, lookups):
+        found = x.index.select(F.col(x.index_id).cast("string").alias("__id"), F.struct(x.index_ror.alias("ror")).alias("r")).groupBy("__id").agg(F.sort_array(F.collect_list("r"))["ror"].alias("rors"))
+        each = lists.select(k).distinct().select(k, F.posexplode(k).alias("pos", "__id")).join(found, "__id", "left")
+        unknown = F.array(F.lit(None).cast(found.schema["rors"].dataType.elementType))
+        lists = lists.join(each.groupBy(k).agg(clean.in_order(F.col("pos"), F.coalesce("rors", unknown)).alias(f"{k}r")), k, "left")
+    out = df.select("*", *ids).join(lists, keys)
+    for k, x in zip(keys, lookups):
+        pairs = F.zip_with(x.items, f"{k}r", partial(_named, x.name))
+        out = out.withColumn(x.out, F.when(F.size(k) > 0, F.flatten(pairs)))
+    return out.drop(*keys, *[f"{k}r" for k in keys])
+
+
+def _field(name: str, item: Column) -> Column:
+    return item[name].cast("string")
+
+
+def _named(name: str, item: Column, rors: Column) -> Column:
+    return F.transform(rors, lambda r: F.struct(item[name].alias("name"), r.alias("ror")))
+
+
 def crosswalk(df: DataFrame, key: list[str], items: str, match: str, name: str, index: DataFrame, index_id: str, index_ror: Column) -> DataFrame:
-    """The items of a list, in order, as struct(name, ror): ids are looked up, a NULL or unknown id keeps its name, and an id
-    of several organisations gives several items."""
-    rows = df.select(*key, F.posexplode(items).alias("pos", "item")).select(*key, "pos", F.col(f"item.{name}").alias("name"), F.col(f"item.{match}").alias("__id"))
-    looked = rows.join(index.select(F.col(index_id).alias("__id"), index_ror.alias("ror")), "__id", "left")
-    return looked.groupBy(*key).agg(clean.in_order(F.struct("pos", "ror"), F.struct("name", "ror")).alias(items if items != "grants" else "funders"))
+    """The :func:`looked_up` items of a list by ``key``, which is unique; rows without items are left out."""
+    out = items if items != "grants" else "funders"
+    return looked_up(df.where(F.size(items) > 0), Lookup(items, match, name, index, index_id, index_ror, "__out")).select(*key, F.col("__out").alias(out))
 
 
 def award_structs(df: DataFrame) -> DataFrame:
@@ -112,14 +152,16 @@ def datacite_awards(works: DataFrame, graph: DataFrame) -> DataFrame:
     return award_structs(own.unionByName(other))
 
 
-_DATACITE_PARTS = [f"datacite_index.{p}" for p in ("works", "types", "updated_dates", "institutions", "funders", "awards")]
+_DATACITE_PARTS = ("datacite_index.works", "datacite_index.types", "datacite_index.updated_dates", "ror.index", "datacite_index.awards")
 
 
 @model("datacite_index.index", *_DATACITE_PARTS, kind="FULL", unique=("doi",))
-def datacite_index(works: DataFrame, types: DataFrame, dates: DataFrame, institutions: DataFrame, funders: DataFrame, awards: DataFrame) -> DataFrame:
-    base = works.select("doi", "title", F.col("abstract").alias("abstract_text"), "publication_date", "publication_venue", "authors")
-    for part in (types, dates, institutions, funders, awards):
+def datacite_index(works: DataFrame, types: DataFrame, dates: DataFrame, ror: DataFrame, awards: DataFrame) -> DataFrame:
+    """Institutions and funders as in their models, but looked up last: joined by DOI, their lists would be shuffled."""
+    base = works.select("doi", "title", F.col("abstract").alias("abstract_text"), "publication_date", "publication_venue", "authors", F.col("institutions").alias("__places"), F.col("funders").alias("__funds"))
+    for part in (types, dates, awards):
         base = base.join(part, "doi", "left")
+    base = looked_up(base, Lookup("__places", "affiliation_identifier", "name", ror, "identifier", F.col("ror_id"), "institutions"), Lookup("__funds", "funder_identifier", "funder_name", ror, "identifier", F.col("ror_id"), "funders"))
     source = F.struct(F.lit("DataCite").alias("name"), F.concat(F.lit("https://commons.datacite.org/doi.org/"), "doi").alias("url"))
     return base.select("doi", "title", "abstract_text", F.coalesce("type", F.lit("OTHER")).alias("work_type"), "publication_date", "updated_date", "publication_venue", empty_if_null(base, "institutions"), "authors", empty_if_null(base, "funders"), empty_if_null(base, "awards"), source.alias("source"))
 
