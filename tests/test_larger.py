@@ -5,7 +5,7 @@ import random
 
 import duckdb
 
-from weftline.operators import enrich
+from weftline.operators import enrich, index
 from weftline.plans import catalog
 
 from test_queries import rows_of
@@ -60,3 +60,29 @@ def test_similar_titles_are_those_of_all_comparisons(spark):
 def test_match_report_knows_pilots_of_any_key(spark, tmp_path):
     keys = [200_000 + 25 * i for i in range(40)]
     assert agrees(spark, tmp_path, "match_report", customer=customers(40, 200_000, 25), orders=orders(400, keys), nation=[(i, f"N{i}") for i in range(25)]) > 50
+
+
+def shuffled(spark, df):
+    """The rows and the bytes that were shuffled for them."""
+    written = lambda: sum(e.apply(i).totalShuffleWrite() for e in [spark.sparkContext._jsc.sc().statusStore().executorList(False)] for i in range(e.size()))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before, rows = written(), df.collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return rows, written() - before
+
+
+def test_long_lists_of_an_id_are_not_shuffled_by_row(spark):
+    registry = spark.range(3000).selectExpr("'i' || id % 2 AS identifier", "md5(string(id)) AS ror_id")
+    works = spark.createDataFrame([(f"d{i}", [(f"i{i % 3}", f"N{i}"), (None, "none")]) for i in range(60)], "doi string, institutions array<struct<affiliation_identifier:string,name:string>>")
+    rows, size = shuffled(spark, index.datacite_institutions(works, registry))
+    assert len(rows) == 60 and sum(len(r["institutions"]) for r in rows) == 40 * 1501 + 20 * 2 and size < 400_000
+    mine = next(r for r in rows if r["doi"] == "d4")["institutions"]
+    assert mine[-1] == ("none", None) and {x["name"] for x in mine[:-1]} == {"N4"} and [x["ror"] for x in mine[:-1]] == sorted(x["ror"] for x in mine[:-1])
+
+
+def test_long_lists_of_an_award_are_not_shuffled_by_plan(spark):
+    funded = spark.range(2).selectExpr("lpad(string(id), 7, '0') AS key", "transform(sequence(1, 3000), x -> md5(string(x))) AS values")
+    fund = "array<struct<funder:struct<ror:string>,funding_opportunity_id:string,award_id:string>>"
+    plans = spark.createDataFrame([(f"p{i}", [(("021nxhr62",), None, f"NSF {i % 3:07}")]) for i in range(60)], f"doi string, funding {fund}")
+    rows, size = shuffled(spark, enrich.enriched(plans, funded))
+    assert sorted(len(r["awards"][0]["funded_dois"]) for r in rows) == [0] * 20 + [3000] * 40 and size < 1_000_000
