@@ -86,3 +86,9 @@ def test_long_lists_of_an_award_are_not_shuffled_by_plan(spark):
     plans = spark.createDataFrame([(f"p{i}", [(("021nxhr62",), None, f"NSF {i % 3:07}")]) for i in range(60)], f"doi string, funding {fund}")
     rows, size = shuffled(spark, enrich.enriched(plans, funded))
     assert sorted(len(r["awards"][0]["funded_dois"]) for r in rows) == [0] * 20 + [3000] * 40 and size < 1_000_000
+
+
+def test_heavy_rows_are_spread_over_the_cores(spark, tmp_path):
+    spark.createDataFrame(customers(50), SCHEMAS["customer"]).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for name in ("plans_clean", "normalised_plans", "datacite_works"):
+        assert catalog.QUERIES[name](spark, str(tmp_path)).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import awards, clean, kinds
 from weftline.operators import match
+from weftline.sources import readers
 
 from .base import query
 from .registry import _s
@@ -54,7 +55,7 @@ SELECT p_partkey, array_to_string(list_sort(list_distinct(x)), ',') AS variants
 def award_nih_variants(t):
     """Every spelling of an award by value."""
     text = _s("5r01ai", F.lpad((F.col("p_partkey") % 1000000).cast("string"), 6, "0"), "-02S1")
-    return t("part").select("p_partkey", F.array_join(awards.nih_variants(awards.nih(text)), ",").alias("variants"))
+    return readers.spread(t("part")).select("p_partkey", F.array_join(awards.nih_variants(awards.nih(text)), ",").alias("variants"))
 
 
 _NO = "lpad((p_partkey % 10000000)::VARCHAR, 7, '0')"
