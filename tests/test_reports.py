@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +42,17 @@ def test_entity_matches_are_those_of_all_comparisons(spark, threshold):
     assert {(x["plan_id"], x["work_id"]): x["weighted_count"] for x in got} == plain_matches(plans, works, match.WEIGHTS, threshold)
 
 
+def test_a_task_of_vector_search_keeps_k_rows_of_a_query(spark):
+    rng = np.random.default_rng(3)
+    table = lambda ids: pa.table({"id": ids, "vector": [rng.integers(-2, 3, 3).astype(float).tolist() for _ in ids]})
+    base, asked = table(list(range(300))[::-1]), table([7, 8, 9])
+    out = pa.Table.from_batches(list(match._nearest(asked, 4, rows=2)(iter(base.to_batches(max_chunksize=50)))))
+    unit = lambda t: np.array([np.array(v) / (np.linalg.norm(v) or np.nan) for v in t["vector"].to_pylist()])
+    far = np.round(1 - unit(asked) @ unit(base).T, 6) + 0.0
+    want = [(q, *x[::-1]) for q, row in zip([7, 8, 9], far) for x in sorted((d, i) for d, i in zip(row, base["id"].to_pylist()) if d == d)[:4]]
+    assert [(x["query_id"], x["base_id"], x["distance"]) for x in out.to_pylist()] == [(q, i, d) for q, i, d in want]
+
+
 @pytest.mark.parametrize("shared", [1, 6])
 def test_plans_of_a_kind_match_alike(spark, shared):
     """Entities of many plans are compared once for each kind of plan; ranks are those of all comparisons."""

@@ -125,7 +125,7 @@ def reranked(pairs: DataFrame, plan_vectors: DataFrame, work_vectors: DataFrame,
 def vector_search(queries: DataFrame, base: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """``query_id, base_id, distance, rank``: exact nearest rows of ``base`` (id, vector) for stated ``queries`` (id, vector).
 
-    Queries go through ``base`` in blocks of at most about ``block`` rows, each shipped to every batch of vectors, which keeps its ``k``
+    Queries go through ``base`` in blocks of at most about ``block`` rows, each shipped to every task, which keeps its ``k``
     best; vectors of length 0 or of another size than the queries' have no distance.
     """
     blocks = -(-queries.count() // block)
@@ -133,9 +133,9 @@ def vector_search(queries: DataFrame, base: DataFrame, k: int, block: int = BLOC
     kind, parts = base.schema["id"].dataType.simpleString(), []
     for n in range(blocks):
         mine = some(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n)).toArrow()  # block rows, about
-        for size in sorted({len(v) for v in mine["vector"].to_pylist()} - {0}):
-            rows = [i for i, v in enumerate(mine["vector"]) if len(v) == size]
-            asked = mine.take(rows)
+        sizes = pc.list_value_length(mine["vector"])
+        for size in sorted(set(sizes.unique().to_pylist()) - {0, None}):
+            asked = mine.filter(pc.equal(sizes, size))
             parts.append(some(base).where(F.size("vector") == size).mapInArrow(_nearest(asked, k), f"query_id {queries.schema['id'].dataType.simpleString()}, base_id {kind}, distance double"))
     if not parts:
         parts = [base.crossJoin(queries.select(F.col("id").alias("query_id")).limit(0)).select("query_id", F.col("id").alias("base_id"), F.lit(0.0).alias("distance"))]
@@ -145,29 +145,40 @@ def vector_search(queries: DataFrame, base: DataFrame, k: int, block: int = BLOC
     return top_k(found, ["query_id"], k, F.col("distance"), F.col("base_id"), rank="rank")
 
 
-def _nearest(asked: pa.Table, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For batches of vectors, the ``k`` nearest of each query; ties by id."""
+def _nearest(asked: pa.Table, k: int, rows: int = 256) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``k`` nearest of each query among all batches of a task; ties by id.
+
+    Distances are held for ``rows`` queries and one batch at a time, and ``k`` rows of each query from batch to batch.
+    """
 
     def unit(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-        x = np.array(column.to_pylist(), np.float64)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
         with np.errstate(invalid="ignore", divide="ignore"):
             return x / np.linalg.norm(x, axis=1, keepdims=True)
 
     q = unit(asked["vector"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, np.ndarray, pa.Array]] = {}  # of a block of queries: row, distance and id, by row, distance and id
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = pc.sort_indices(batch.column(0))
-            ids, x = batch.column(0).take(order), unit(batch.column(1).take(order))
-            for i in range(0, len(q), 1024):
-                far = np.round(1 - q[i : i + 1024] @ x.T, 6) + 0.0  # no negative zero
-                best = np.argsort(far, axis=1, kind="stable")[:, :k]  # NaN last
-                row, at = np.repeat(np.arange(len(far)), best.shape[1]), best.ravel()
-                real = ~np.isnan(far[row, at])
-                row, at = row[real], at[real]
-                yield pa.RecordBatch.from_arrays([asked["id"].combine_chunks().take(pa.array(i + row)), ids.take(pa.array(at)), pa.array(far[row, at])], ["query_id", "base_id", "distance"])
+            ids, x = batch.column(0), unit(batch.column(1))
+            for i in range(0, len(q), rows):
+                far = np.round(1 - q[i : i + rows] @ x.T, 6) + 0.0  # no negative zero
+                most = np.sort(np.partition(far, min(k, far.shape[1]) - 1, axis=1)[:, :k], axis=1)[:, -1:]  # NaN last
+                row, at = np.nonzero((far <= most) | (np.isnan(most) & ~np.isnan(far)))
+                near, found = far[row, at], ids.take(pa.array(at))
+                if i in best:
+                    row, near, found = np.concatenate([best[i][0], row]), np.concatenate([best[i][1], near]), pa.concat_arrays([best[i][2], found])
+                order = pc.sort_indices(pa.table({"row": row, "far": near, "id": found}), sort_keys=[("row", "ascending"), ("far", "ascending"), ("id", "ascending")]).to_numpy()
+                row = row[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                order = order[keep]
+                best[i] = row[keep], near[order], found.take(pa.array(order))
+        for i, (row, near, found) in best.items():
+            yield pa.RecordBatch.from_arrays([asked["id"].combine_chunks().take(pa.array(i + row)), found, pa.array(near)], ["query_id", "base_id", "distance"])
 
     return run
 
